@@ -127,29 +127,34 @@ def ranked_scores(df: DataFrame, y: str | Column, p: str | Column, groups: Seque
                                           "neg": F.when(F.col("y"), 0.0).otherwise(F.col("w"))}, groups)
 
 
-def _rank_formulas() -> dict[str, Column]:
-    pos, neg = F.col("pos"), F.col("neg")
-    n, n_total = pos + neg, F.col("pos_total") + F.col("neg_total")
-    above = n_total - F.col("pos_below") - F.col("neg_below") - n
-    total_pos, total_neg = F.max("pos_total"), F.max("neg_total")
-    auc = ratio(F.sum(pos * (F.col("neg_below") + neg / 2)), total_pos * total_neg)
-    found = F.col("pos_total") - F.col("pos_below")
-    out = {
-        "auc": auc,
-        "gini": 2 * auc - 1,
-        "aucpr": ratio(F.sum(pos * found / (above + n)), total_pos),
-    }
-    for tenth in range(1, 10):
-        r = tenth / 10
-        taken = F.least(F.greatest(r * n_total - above, F.lit(0.0)), n)
-        out[f"lift_at_{r}"] = ratio(ratio(F.sum(pos * ratio0(taken, n)), r * F.max(n_total)),
-                                    ratio(total_pos, F.max(n_total)))
-    return out
+RANK_METRICS = ["auc", "gini", "aucpr"] + [f"lift_at_0.{t}" for t in range(1, 10)]
 
 
 def rank_metrics(ranked: DataFrame, groups: Sequence[str], names: Sequence[str]) -> DataFrame:
-    formulas = _rank_formulas()
-    return ranked.groupBy(*groups).agg(*[formulas[n].alias(n) for n in names])
+    """Order metrics from the running totals: row terms first, then plain sums, then the quotients.
+
+    For lift, the score group that holds the cut-off counts pro rata, so ties need no order.
+    """
+    pos, neg = F.col("pos"), F.col("neg")
+    lifts = {n: float(n.rsplit("_", 1)[1]) for n in names if n.startswith("lift_at_")}
+    everything = F.col("pos_total") + F.col("neg_total")
+    found = F.col("pos_total") - F.col("pos_below")
+    called = everything - F.col("pos_below") - F.col("neg_below")
+    rows = ranked.withColumns({"n": pos + neg, "above": called - pos - neg}).select(
+        *groups, "pos", "n", "above", "pos_total", "neg_total", everything.alias("all_total"),
+        (pos * (F.col("neg_below") + neg / 2)).alias("area"),
+        F.when(called > 0, pos * found / called).otherwise(0.0).alias("hits"))
+    sums = [F.sum("area").alias("area"), F.sum("hits").alias("hits"),
+            *[F.max(t).alias(t) for t in ("pos_total", "neg_total", "all_total")]]
+    for i, r in enumerate(lifts.values()):
+        room = F.least(F.greatest(r * F.col("all_total") - F.col("above"), F.lit(0.0)), F.col("n"))
+        sums.append(F.sum(F.when(F.col("n") > 0, pos * room / F.col("n")).otherwise(0.0)).alias(f"top{i}"))
+    total = rows.groupBy(*groups).agg(*sums)
+    auc = ratio(F.col("area"), F.col("pos_total") * F.col("neg_total"))
+    out = {"auc": auc, "gini": 2 * auc - 1, "aucpr": ratio(F.col("hits"), F.col("pos_total"))}
+    for i, (name, r) in enumerate(lifts.items()):
+        out[name] = ratio(F.col(f"top{i}") / r, F.col("pos_total"))
+    return total.select(*groups, *[out[n].alias(n) for n in names])
 
 
 def label_formulas(tp: Column, fp: Column, fn: Column, tn: Column) -> dict[str, Column]:
@@ -171,7 +176,7 @@ def binary_metrics(df: DataFrame, y: str | Column, p: str | Column, groups: Sequ
                    names: Sequence[str] = CLASSIFICATION) -> DataFrame:
     """Columns: groups, then one per requested metric; y is 0/1 (or boolean), p the probability of 1."""
     names, groups = _check(names, CLASSIFICATION), list(groups)
-    by_rank = [n for n in names if n in _rank_formulas()]
+    by_rank = [n for n in names if n in RANK_METRICS]
     by_label = [n for n in names if n not in by_rank]
     ranked = rank_metrics(ranked_scores(df, y, p, groups, weight), groups, by_rank) if by_rank else None
     if not by_label:
