@@ -6,9 +6,10 @@ thousand rows) go through a window of their own; inside a bucket a partitioned w
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import QuantileDiscretizer
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 
@@ -22,11 +23,11 @@ def _bucketed(df: DataFrame, score: Column, measures: dict[str, Column], groups:
     n = bucket_count(df.sparkSession)
     rows = df.select(*groups, score.cast("double").alias("score"),
                      *[c.alias(m) for m, c in measures.items()]).where(F.col("score").isNotNull())
-    cutter = QuantileDiscretizer(inputCol="score", outputCol="bucket", numBuckets=n,
-                                 relativeError=1.0 / (4 * n), handleInvalid="keep")
-    buckets = cutter.fit(rows.select("score"))
+    sketch = F.percentile_approx("score", [i / n for i in range(1, n)], 4 * n)
+    cuts = rows.select("score").agg(sketch).first()[0] or [0.0]
+    splits = [-math.inf, *sorted({c for c in cuts if math.isfinite(c)} or {0.0}), math.inf]
     distinct = rows.groupBy(*groups, "score").agg(*[F.sum(m).alias(m) for m in measures])
-    return buckets.transform(distinct)
+    return Bucketizer(inputCol="score", outputCol="bucket", splits=splits, handleInvalid="keep").transform(distinct)
 
 
 def _offsets(rows: DataFrame, measures: Sequence[str], groups: Sequence[str]) -> DataFrame:
