@@ -45,7 +45,35 @@ def detect_language(words: Column, languages: tuple[str, ...] = ("en", "fr", "de
 
 def without_stop_words(words: Column, lang: Column) -> Column:
     """Tokens that are no stop words of the row's language."""
+    def keep(code):
+        return lambda t: ~t.isin(STOP_WORDS[code])
     out = words
     for code in STOP_WORDS:
-        out = F.when(lang == code, F.filter(words, lambda t, code=code: ~t.isin(STOP_WORDS[code]))).otherwise(out)
+        out = F.when(lang == code, F.filter(words, keep(code))).otherwise(out)
+    return out
+
+
+# Endings taken off by the light stemmer, per language.
+ENDINGS = {
+    "de": ["ungen", "ung", "ern", "em", "en", "er", "es", "e", "n", "s"],
+    "en": ["ations", "ation", "ingly", "ings", "ing", "edly", "ness", "ment", "ies", "ed", "es", "ly", "s"],
+    "es": ["aciones", "ación", "mente", "ando", "iendo", "ados", "adas", "ado", "ada", "os", "as", "es", "o", "a", "s"],
+    "fr": ["ements", "ement", "ations", "ation", "euses", "euse", "eaux", "ées", "ée", "és", "er", "es", "é", "e", "s", "x"],
+}
+STEM_MIN = 3
+
+
+def stem_pattern(lang: str) -> str:
+    """Longest listed ending after at least STEM_MIN characters."""
+    endings = sorted(ENDINGS[lang], key=len, reverse=True)
+    return "^(.{%d,}?)(%s)$" % (STEM_MIN, "|".join(endings))
+
+
+def stem(words: Column, lang: Column) -> Column:
+    """Tokens without the ending of the row's language."""
+    def cut(code):
+        return lambda t: F.regexp_replace(t, stem_pattern(code), "$1")
+    out = words
+    for code in ENDINGS:
+        out = F.when(lang == code, F.transform(words, cut(code))).otherwise(out)
     return out
