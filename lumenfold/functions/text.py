@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 TOKEN = r"[\p{L}\p{N}]+"
 TOKEN_OR_MARK = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]"
@@ -27,6 +27,11 @@ def tokens(text: str | Column, keep_punctuation: bool = False) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN_OR_MARK if keep_punctuation else TOKEN), F.lit(0))
 
 
+def explode_words(df: DataFrame, words: str | Column, *keep: str, name: str = "term") -> DataFrame:
+    """One row per token. The outer form keeps the optimizer from copying the token expression into a pre-filter."""
+    return df.select(*keep, F.explode_outer(words).alias(name)).where(F.col(name).isNotNull())
+
+
 def stop_word_array(lang: str) -> Column:
     return F.array(*[F.lit(w) for w in STOP_WORDS[lang]])
 

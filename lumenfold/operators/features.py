@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lumenfold.functions.skew import lookup_join
-from lumenfold.functions.text import tokens
+from lumenfold.functions.text import explode_words, tokens
 from lumenfold.operators.joins import apply_encoding
 from lumenfold.operators.metrics import ratio
 from lumenfold.operators.profile import numeric_columns, string_columns, to_rows, unpivot
@@ -65,7 +65,7 @@ def frequency_encode(train: DataFrame, df: DataFrame, column: str) -> DataFrame:
 def vocabulary(docs: DataFrame, words: str, n_terms: int | None) -> DataFrame:
     """(term, df, idf) of the n_terms most widespread terms, ties by term. idf = ln((n + 1) / (df + 1))."""
     n = docs.select(F.count(F.lit(1))).scalar()
-    spread = docs.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term") \
+    spread = explode_words(docs, F.array_distinct(words)).groupBy("term") \
         .agg(F.count(F.lit(1)).alias("df"))
     if n_terms is not None:
         spread = spread.orderBy(F.desc("df"), "term").limit(n_terms)
@@ -74,7 +74,7 @@ def vocabulary(docs: DataFrame, words: str, n_terms: int | None) -> DataFrame:
 
 def weigh_terms(docs: DataFrame, doc_id: str, words: str, vocab: DataFrame) -> DataFrame:
     """(doc, term, tf, weight = tf * idf) for the terms of a vocabulary. Hot terms meet a small table, or are split."""
-    counted = docs.select(doc_id, F.explode(words).alias("term")).groupBy(doc_id, "term") \
+    counted = explode_words(docs, words, doc_id).groupBy(doc_id, "term") \
         .agg(F.count(F.lit(1)).alias("tf"))
     return lookup_join(counted, vocab.select("term", "idf"), ["term"], "inner") \
         .select(doc_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight"))

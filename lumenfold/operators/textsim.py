@@ -63,9 +63,10 @@ def tfidf_weights(rows: DataFrame, row_id: str, words: str, vocab: DataFrame) ->
 def tfidf_vectors(rows: DataFrame, row_id: str, words: str, vocab: DataFrame, out: str = "vector") -> DataFrame:
     """Sparse unit vectors struct(terms, weights); rows without a known term have none and are left out."""
     long = weigh_terms(rows, row_id, words, vocab).where(F.col("weight") > 0)
-    packed = long.groupBy(row_id).agg(F.array_sort(F.collect_list(F.struct("term", "weight"))).alias("e"))
-    norm = F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, x: a + x["weight"] * x["weight"]))
-    return packed.withColumn("n", norm).select(row_id, F.struct(
+    # the norm is an aggregate of its own: inside the lambda it would be worked out once per term
+    packed = long.groupBy(row_id).agg(F.array_sort(F.collect_list(F.struct("term", "weight"))).alias("e"),
+                                      F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("n"))
+    return packed.select(row_id, F.struct(
         F.transform("e", lambda x: x["term"]).alias("terms"),
         F.transform("e", lambda x: x["weight"] / F.col("n")).alias("weights")).alias(out))
 
@@ -73,9 +74,9 @@ def tfidf_vectors(rows: DataFrame, row_id: str, words: str, vocab: DataFrame, ou
 def dense_vectors(df: DataFrame, row_id: str, vector: str, out: str = "vector") -> DataFrame:
     """Unit vectors from an array column that is already on the table."""
     v = F.col(vector).cast("array<double>")
-    rows = df.select(row_id, v.alias("v")).withColumn("n", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
-    return rows.select(row_id, F.when(F.col("n") > 0, F.transform("v", lambda x: x / F.col("n")))
-                       .otherwise(F.col("v")).alias(out))
+    norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    return df.select(row_id, F.zip_with(v, F.array_repeat(F.when(norm > 0, norm).otherwise(1.0), F.size(v)),
+                                        lambda x, n: x / n).alias(out))
 
 
 # --- search: frames (query id, vector) and (item id, vector) of unit vectors --------------------------------------

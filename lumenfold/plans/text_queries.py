@@ -33,8 +33,8 @@ def contained_in(items: DataFrame, docs: DataFrame, item_id: str, item_text: str
     windows = None
     for n in lengths:
         starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - n + 1)).otherwise(F.array().cast("array<int>"))
-        one = docs.select(doc_id, F.split(doc_text, r"\s+").alias("w")).select(doc_id, F.explode(F.array_distinct(
-            F.transform(starts, window_hash(n)))).alias("seed"))
+        one = TX.explode_words(docs.select(doc_id, F.split(doc_text, r"\s+").alias("w")), F.array_distinct(
+            F.transform(starts, window_hash(n))), doc_id, name="seed")
         windows = one if windows is None else windows.unionByName(one)
     candidates = windows.join(seeds.select(item_id, "seed"), "seed").select(item_id, doc_id).distinct()
     return candidates.join(items.select(item_id, item_text), item_id).join(docs.select(doc_id, doc_text), doc_id) \
