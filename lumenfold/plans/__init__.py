@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["metric_queries", "table_queries", "feature_queries", "text_queries"]
+MODULES = ["metric_queries", "table_queries", "feature_queries", "text_queries", "model_queries", "stream_queries"]
 
 
 def load_all():
