@@ -12,6 +12,12 @@ BROADCAST_ROWS = 200_000
 HOT_SHARE = 1e-3
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores before heavy row work, if the input has fewer splits than there are cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """True if df is known to have at most max_rows rows (counts at most one row more than that)."""
     return df.limit(max_rows + 1).count() <= max_rows

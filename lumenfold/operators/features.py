@@ -12,12 +12,13 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lumenfold.functions.skew import lookup_join
+from lumenfold.functions.skew import lookup_join, spread
 from lumenfold.functions.text import explode_words, tokens
 from lumenfold.operators.joins import apply_encoding
 from lumenfold.operators.metrics import ratio
 from lumenfold.operators.profile import numeric_columns, string_columns, to_rows, unpivot
 from lumenfold.operators.roles import is_null_value
+from lumenfold.session import cut_lineage
 
 # The names of the feature modules, and the ones used when none are chosen.
 MODULES = ["Counter", "Date", "freq", "text_tfidf", "text_word2vec", "text_embedding", "tenc", "poly", "pca", "kmean"]
@@ -62,33 +63,35 @@ def frequency_encode(train: DataFrame, df: DataFrame, column: str) -> DataFrame:
     return apply_encoding(df, frequency_map(train, column), column, f"{column}_freq", 0.0)
 
 
-def vocabulary(docs: DataFrame, words: str, n_terms: int | None) -> DataFrame:
+def term_counts(docs: DataFrame, doc_id: str, words: str) -> DataFrame:
+    """(doc, term, tf). Written once: the vocabulary and the weights both need it, and preparing tokens is the slow part."""
+    return cut_lineage(explode_words(docs, words, doc_id).groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf")))
+
+
+def vocabulary(counts: DataFrame, n_docs, n_terms: int | None = None) -> DataFrame:
     """(term, df, idf) of the n_terms most widespread terms, ties by term. idf = ln((n + 1) / (df + 1))."""
-    n = docs.select(F.count(F.lit(1))).scalar()
-    spread = explode_words(docs, F.array_distinct(words)).groupBy("term") \
-        .agg(F.count(F.lit(1)).alias("df"))
+    spread_of = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     if n_terms is not None:
-        spread = spread.orderBy(F.desc("df"), "term").limit(n_terms)
-    return spread.withColumn("idf", F.ln((n + 1) / (F.col("df") + 1)))
+        spread_of = spread_of.orderBy(F.desc("df"), "term").limit(n_terms)
+    return spread_of.withColumn("idf", F.ln((n_docs + 1) / (F.col("df") + 1)))
 
 
-def weigh_terms(docs: DataFrame, doc_id: str, words: str, vocab: DataFrame) -> DataFrame:
+def weigh_terms(counts: DataFrame, doc_id: str, vocab: DataFrame) -> DataFrame:
     """(doc, term, tf, weight = tf * idf) for the terms of a vocabulary. Hot terms meet a small table, or are split."""
-    counted = explode_words(docs, words, doc_id).groupBy(doc_id, "term") \
-        .agg(F.count(F.lit(1)).alias("tf"))
-    return lookup_join(counted, vocab.select("term", "idf"), ["term"], "inner") \
+    return lookup_join(counts, vocab.select("term", "idf"), ["term"], "inner") \
         .select(doc_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight"))
 
 
 def text_tfidf(docs: DataFrame, doc_id: str, text: str, n_terms: int = 1000) -> DataFrame:
-    rows = docs.select(doc_id, tokens(text).alias("words"))
-    return weigh_terms(rows, doc_id, "words", vocabulary(rows, "words", n_terms))
+    counts = term_counts(spread(docs.select(doc_id, text)).select(doc_id, tokens(text).alias("words")), doc_id, "words")
+    n = docs.select(F.count(F.lit(1))).scalar()
+    return weigh_terms(counts, doc_id, vocabulary(counts, n, n_terms))
 
 
 def text_word2vec(docs: DataFrame, text: str, dim: int = 32, out: str = "text_vector", seed: int = 7,
                   partitions: int = 1, min_count: int = 5, max_iter: int = 1) -> DataFrame:
     """Mean of the word vectors of each text."""
-    rows = docs.withColumn("_words", tokens(text))
+    rows = spread(docs).withColumn("_words", tokens(text))
     model = Word2Vec(vectorSize=dim, inputCol="_words", outputCol="_v", seed=seed, numPartitions=partitions,
                      minCount=min_count, maxIter=max_iter).fit(rows.select("_words"))
     return model.transform(rows).withColumn(out, vector_to_array("_v")).drop("_words", "_v")
@@ -96,7 +99,7 @@ def text_word2vec(docs: DataFrame, text: str, dim: int = 32, out: str = "text_ve
 
 def text_embedding_model(docs: DataFrame, text: str, dim: int = 16, hash_size: int = 512) -> PipelineModel:
     """Sentence vectors by latent semantic analysis: hashed tf-idf projected on its main axes."""
-    rows = docs.select(tokens(text).alias("_words"))
+    rows = spread(docs.select(text)).select(tokens(text).alias("_words"))
     return Pipeline(stages=[HashingTF(inputCol="_words", outputCol="_tf", numFeatures=hash_size),
                             IDF(inputCol="_tf", outputCol="_idf"),
                             PCA(inputCol="_idf", outputCol="_axes", k=dim)]).fit(rows)

@@ -10,6 +10,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lumenfold.functions.ranking import exact_percentiles
+from lumenfold.functions.skew import spread
 from lumenfold.functions.text import explode_words, tokens
 from lumenfold.operators.roles import ColumnRoles, is_null_value
 
@@ -83,7 +84,7 @@ def categorical_profile(df: DataFrame, columns: Sequence[str] | None = None, top
 
 def text_profile(df: DataFrame, text: str, top_n: int = 10, groups: Sequence[str] = ()) -> DataFrame:
     """Most frequent tokens (per group)."""
-    words = explode_words(df, tokens(text), *groups, name="token")
+    words = explode_words(spread(df.select(*groups, text)), tokens(text), *groups, name="token")
     counts = words.groupBy(*groups, "token").agg(F.count(F.lit(1)).alias("n"))
     return top_per_group(counts, groups, [F.desc("n"), F.asc("token")], top_n)
 

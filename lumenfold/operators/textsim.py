@@ -12,9 +12,10 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from lumenfold.functions.hashing import key_hash
-from lumenfold.functions.text import STOP_WORDS, detect_language, stem, tokens, without_stop_words
+from lumenfold.functions.skew import spread
+from lumenfold.functions.text import STOP_WORDS, TOKEN, detect_language, stem, tokens, without_stop_words
 from lumenfold.functions.topk import celled_topk, exact_topk, finish, is_sparse
-from lumenfold.operators.features import text_embedding, text_embedding_model, vocabulary, weigh_terms
+from lumenfold.operators.features import term_counts, text_embedding, text_embedding_model, vocabulary, weigh_terms
 from lumenfold.operators.metrics import TEXT_SIMILARITY, retrieval_metrics
 from lumenfold.session import cut_lineage
 
@@ -45,7 +46,7 @@ def preprocess(df: DataFrame, text: str, lang: str = "auto", word_stemming: str
     if ignore_stop_word != "no":
         cleaned = without_stop_words(words, F.col("lang"))
         if ignore_stop_word == "auto":
-            mean = df.select(F.avg(F.size(tokens(text)))).scalar()
+            mean = df.select(F.avg(F.regexp_count(text, F.lit(TOKEN)))).scalar()
             cleaned = F.when(mean >= SENTENCE_TOKENS, cleaned).otherwise(words)
         rows = rows.withColumn(out, cleaned)
     if word_stemming == "yes":
@@ -53,16 +54,16 @@ def preprocess(df: DataFrame, text: str, lang: str = "auto", word_stemming: str
     return rows
 
 
-def tfidf_weights(rows: DataFrame, row_id: str, words: str, vocab: DataFrame) -> DataFrame:
+def tfidf_weights(counts: DataFrame, row_id: str, vocab: DataFrame) -> DataFrame:
     """Long (id, term, weight) with each row scaled to length 1."""
-    v = tfidf_vectors(rows, row_id, words, vocab)
+    v = tfidf_vectors(counts, row_id, vocab)
     return v.select(row_id, F.explode(F.arrays_zip("vector.terms", "vector.weights")).alias("e")) \
         .select(row_id, F.col("e.terms").alias("term"), F.col("e.weights").alias("weight"))
 
 
-def tfidf_vectors(rows: DataFrame, row_id: str, words: str, vocab: DataFrame, out: str = "vector") -> DataFrame:
-    """Sparse unit vectors struct(terms, weights); rows without a known term have none and are left out."""
-    long = weigh_terms(rows, row_id, words, vocab).where(F.col("weight") > 0)
+def tfidf_vectors(counts: DataFrame, row_id: str, vocab: DataFrame, out: str = "vector") -> DataFrame:
+    """Sparse unit vectors struct(terms, weights) from term counts; rows without a known term are left out."""
+    long = weigh_terms(counts, row_id, vocab).where(F.col("weight") > 0)
     # the norm is an aggregate of its own: inside the lambda it would be worked out once per term
     packed = long.groupBy(row_id).agg(F.array_sort(F.collect_list(F.struct("term", "weight"))).alias("e"),
                                       F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("n"))
@@ -237,10 +238,10 @@ def embed(queries: DataFrame, items: DataFrame, query_id: str, item_id: str, que
     """Unit vectors of both tables, written once. The weights and axes come from the catalogue alone."""
     _choice("embedding", embedding, EMBEDDINGS)
     if embedding == "tf_idf":
-        its = preprocess(items, item_text, **preparation).select(item_id, "words")
-        qs = preprocess(queries, query_text, **preparation).select(query_id, "words")
-        vocab = cut_lineage(vocabulary(its, "words", None))
-        out = tfidf_vectors(qs, query_id, "words", vocab), tfidf_vectors(its, item_id, "words", vocab)
+        its = term_counts(preprocess(spread(items.select(item_id, item_text)), item_text, **preparation), item_id, "words")
+        qs = term_counts(preprocess(spread(queries.select(query_id, query_text)), query_text, **preparation), query_id, "words")
+        vocab = cut_lineage(vocabulary(its, items.select(F.count(F.lit(1))).scalar()))
+        out = tfidf_vectors(qs, query_id, vocab), tfidf_vectors(its, item_id, vocab)
     elif vector is not None:
         out = dense_vectors(queries, query_id, vector), dense_vectors(items, item_id, vector)
     else:

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lumenfold.functions import text as TX
+from lumenfold.functions.skew import spread
 from lumenfold.operators import joins as J, metrics as M, textsim as X
-from lumenfold.operators.features import vocabulary
+from lumenfold.operators.features import term_counts, vocabulary
 from lumenfold.plans.catalog import register, rounded, sql_hash, table
 from lumenfold.plans.table_queries import TOKENS_SQL
 
@@ -137,11 +138,12 @@ PLAIN_VECTORS = vectors_sql(f"(SELECT doc_id, {TOKENS_SQL} AS words FROM documen
 @register("x03_tfidf_vectors", f"""WITH {PLAIN_VECTORS} SELECT 'item' AS side, doc_id AS id, term, round(w, 6) AS weight FROM it
     UNION ALL SELECT 'query', item_id, term, round(w, 6) FROM qu""")
 def tfidf_vectors(spark, sf_dir):
-    docs = catalogue(spark, sf_dir).select("doc_id", TX.tokens("text").alias("words"))
+    docs = catalogue(spark, sf_dir)
+    counts = term_counts(spread(docs).select("doc_id", TX.tokens("text").alias("words")), "doc_id", "words")
     passages = table(spark, sf_dir, "benchmark").select("item_id", TX.tokens("text").alias("words"))
-    vocab = vocabulary(docs, "words", 1000)
-    items = X.tfidf_weights(docs, "doc_id", "words", vocab)
-    queries = X.tfidf_weights(passages, "item_id", "words", vocab)
+    vocab = vocabulary(counts, docs.select(F.count(F.lit(1))).scalar(), 1000)
+    items = X.tfidf_weights(counts, "doc_id", vocab)
+    queries = X.tfidf_weights(term_counts(passages, "item_id", "words"), "item_id", vocab)
     return rounded(items.select(F.lit("item").alias("side"), F.col("doc_id").alias("id"), "term", "weight").unionByName(
         queries.select(F.lit("query").alias("side"), F.col("item_id").alias("id"), "term", "weight")))
 

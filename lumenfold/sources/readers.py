@@ -32,8 +32,8 @@ def load_csv(spark: SparkSession, path: str, sep: str = ",", schema: T.StructTyp
     return (reader.schema(schema) if schema is not None else reader.option("inferSchema", True)).csv(path)
 
 
-def load_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def load_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
 def sniff_formats(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
