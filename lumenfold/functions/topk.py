@@ -11,11 +11,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from lumenfold.functions.skew import lookup_join
 from lumenfold.operators.profile import top_per_group
+from lumenfold.session import cut_lineage
 
-BLOCK_ROWS = 2048
-BLOCK_CELLS = 4_000_000
-CELL_ITEMS = 20_000
-ITEM_BATCH = 1024
+BLOCK_ROWS = 2048         # queries sent to all tasks, or multiplied at once
+SHARED_ITEMS = 50_000     # items sent to all tasks
+BLOCK_CELLS = 4_000_000   # numbers in a table sent to all tasks
+CELL_ROWS = 20_000        # rows of either side in one grid cell
+BATCH_CELLS = 4_000_000   # scores held at once
 SCORE_DIGITS = 9
 
 
@@ -27,28 +29,31 @@ def vector_length(df: DataFrame, vector: str) -> Column:
     return F.size(F.col(f"{vector}.terms")) if is_sparse(df, vector) else F.size(vector)
 
 
-def block_fits(df: DataFrame, vector: str) -> bool:
+def block_fits(df: DataFrame, vector: str, max_rows: int) -> bool:
     """True if the vectors are few and short enough to sit in every task."""
-    size = df.limit(BLOCK_ROWS + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(vector_length(df, vector)).alias("c")).first()
-    return size["n"] <= BLOCK_ROWS and (size["c"] or 0) <= BLOCK_CELLS
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(vector_length(df, vector)).alias("c")).first()
+    return size["n"] <= max_rows and (size["c"] or 0) <= BLOCK_CELLS
 
 
 class Block:
-    """A few vectors, ready to be multiplied with batches of others."""
+    """A few vectors in id order, ready to be multiplied with batches of others."""
 
     def __init__(self, ids, vectors, sparse: bool):
         import numpy as np
-        self.ids, self.sparse = np.asarray(ids), sparse
-        if sparse:
-            self.column = {}
-            for v in vectors:
-                for t in v["terms"]:
-                    self.column.setdefault(t, len(self.column))
-            self.matrix = np.zeros((len(self.ids), max(1, len(self.column))))
-            for i, v in enumerate(vectors):
-                self.matrix[i, [self.column[t] for t in v["terms"]]] = v["weights"]
-        else:
-            self.matrix = np.stack([np.asarray(v, dtype=float) for v in vectors])
+        ids = np.asarray(ids)
+        order = np.argsort(ids, kind="stable")
+        self.ids, self.sparse, vectors = ids[order], sparse, [vectors[i] for i in order]
+        self.batch = max(16, BATCH_CELLS // max(1, len(ids)))
+        if not sparse:
+            self.matrix = np.stack([np.asarray(v, dtype=float) for v in vectors]) if vectors else np.zeros((0, 0))
+            return
+        postings = {}
+        for i, v in enumerate(vectors):
+            for t, w in zip(v["terms"], v["weights"]):
+                rows, weights = postings.setdefault(t, ([], []))
+                rows.append(i)
+                weights.append(w)
+        self.postings = {t: (np.asarray(r), np.asarray(w)) for t, (r, w) in postings.items()}
 
     def scores(self, vectors):
         """len(ids) x len(vectors) dot products, rounded so that equal vectors tie exactly."""
@@ -57,16 +62,46 @@ class Block:
             return np.round(self.matrix @ np.stack([np.asarray(v, dtype=float) for v in vectors]).T, SCORE_DIGITS)
         out = np.zeros((len(self.ids), len(vectors)))
         for j, v in enumerate(vectors):
-            pairs = [(self.column[t], w) for t, w in zip(v["terms"], v["weights"]) if t in self.column]
-            if pairs:
-                columns, weights = zip(*pairs)
-                out[:, j] = self.matrix[:, list(columns)] @ np.asarray(weights)
+            hits = [(self.postings[t], w) for t, w in zip(v["terms"], v["weights"]) if t in self.postings]
+            if hits:
+                rows = np.concatenate([r for (r, _), _ in hits])
+                parts = np.concatenate([p * w for (_, p), w in hits])
+                out[:, j] = np.bincount(rows, weights=parts, minlength=len(self.ids))
         return np.round(out, SCORE_DIGITS)
 
 
+class Running:
+    """k best items seen so far for each row of a query block."""
+
+    def __init__(self, block: Block, k: int):
+        self.block, self.k, self.ids, self.best = block, k, None, None
+
+    def add(self, ids, vectors) -> None:
+        import numpy as np
+        scores = self.block.scores(vectors)
+        rows = best_k(scores, ids, self.k)
+        if self.best is None:
+            self.ids, self.best = [ids[r] for r in rows], [scores[n][r] for n, r in enumerate(rows)]
+            return
+        for n, r in enumerate(rows):
+            if len(self.best[n]) == self.k and len(r) and scores[n][r[0]] < self.best[n][-1]:
+                continue
+            s, i = np.concatenate([self.best[n], scores[n][r]]), np.concatenate([self.ids[n], ids[r]])
+            order = np.lexsort((i, -s))[:self.k]
+            self.best[n], self.ids[n] = s[order], i[order]
+
+    def frame(self, columns):
+        import numpy as np
+        if self.best is None:
+            return _frame([], [], [], columns)
+        return _frame([np.repeat(self.block.ids[n:n + 1], len(r)) for n, r in enumerate(self.ids)], self.ids, self.best, columns)
+
+
 def best_k(scores, ids, k: int):
     """Per row of scores: positions of the k best, by score descending then id ascending."""
     import numpy as np
+    if k == 1 and len(ids) and (ids[:-1] <= ids[1:]).all():
+        return scores.argmax(axis=1)[:, None]
     out = []
     for row in scores:
         keep = np.arange(len(row))
@@ -86,22 +121,13 @@ def _frame(qid, iid, score, columns):
 def _scan_items(shared, columns, k):
     """Walk over the items of a partition with the shared query block; k running best per query."""
     def run(batches):
-        import numpy as np
-        block, kept_ids, kept = shared.value, None, None
+        block = shared.value
+        best = Running(block, k)
         for b in batches:
-            for start in range(0, len(b), ITEM_BATCH):
-                part = b.iloc[start:start + ITEM_BATCH]
-                ids, scores = part["i"].to_numpy(), block.scores(part["v"].tolist())
-                rows = best_k(scores, ids, k)
-                if kept is None:
-                    kept_ids, kept = [ids[r] for r in rows], [scores[n][r] for n, r in enumerate(rows)]
-                    continue
-                for n, r in enumerate(rows):
-                    s, i = np.concatenate([kept[n], scores[n][r]]), np.concatenate([kept_ids[n], ids[r]])
-                    order = np.lexsort((i, -s))[:k]
-                    kept[n], kept_ids[n] = s[order], i[order]
-        if kept is not None:
-            yield _frame([np.repeat(block.ids[n:n + 1], len(r)) for n, r in enumerate(kept_ids)], kept_ids, kept, columns)
+            for start in range(0, len(b), block.batch):
+                part = b.iloc[start:start + block.batch]
+                best.add(part["i"].to_numpy(), part["v"].tolist())
+        yield best.frame(columns)
     return run
 
 
@@ -111,10 +137,10 @@ def _scan_queries(shared, columns, k):
         import numpy as np
         block = shared.value
         for b in batches:
-            for start in range(0, len(b), ITEM_BATCH):
-                part = b.iloc[start:start + ITEM_BATCH]
-                scores = block.scores(part["v"].tolist()).T
-                rows, ids = best_k(scores, block.ids, k), part["q"].to_numpy()
+            for start in range(0, len(b), block.batch):
+                part = b.iloc[start:start + block.batch]
+                scores, ids = block.scores(part["v"].tolist()).T, part["q"].to_numpy()
+                rows = best_k(scores, block.ids, k)
                 yield _frame([np.repeat(ids[n:n + 1], len(r)) for n, r in enumerate(rows)], [block.ids[r] for r in rows],
                              [scores[n][r] for n, r in enumerate(rows)], columns)
     return run
@@ -134,11 +160,11 @@ def celled_topk(queries: DataFrame, items: DataFrame, k: int, sparse: bool) -> D
     """Candidates per (bucket, item chunk, query chunk): frames (b, q, v) and (b, i, v) -> k best (q, i, score) per cell.
 
     A bucket with many rows is cut into as many chunks as its counts ask for; each of its queries visits every item
-    chunk. Every cell holds about CELL_ITEMS items and BLOCK_ROWS queries, however the rows fall on the buckets.
+    chunk. Every cell holds about CELL_ROWS rows of either side, however the rows fall on the buckets.
     """
     def chunks(df, size, name):
         return df.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
-    sizes = chunks(items, CELL_ITEMS, "ni").join(chunks(queries, BLOCK_ROWS, "nq"), "b")
+    sizes = cut_lineage(chunks(items, CELL_ROWS, "ni").join(chunks(queries, CELL_ROWS, "nq"), "b"))
     schema, columns = _schema(queries, items), ["q", "i", "score"]
 
     def place(df, key, own, other, own_name, other_name):
@@ -149,20 +175,16 @@ def celled_topk(queries: DataFrame, items: DataFrame, k: int, sparse: bool) -> D
     i = place(items, "i", F.col("ni"), "nq", "ci", "cq")
 
     def cell(qs, its):
-        import numpy as np
-        if len(qs) == 0 or len(its) == 0:
-            return _frame([], [], [], columns)
-        block, ids, vectors = Block(qs["q"], qs["v"].tolist(), sparse), its["i"].to_numpy(), its["v"].tolist()
-        best_ids = [ids[:0]] * len(qs)
-        best = [np.zeros(0)] * len(qs)
-        for start in range(0, len(ids), ITEM_BATCH):
-            part = ids[start:start + ITEM_BATCH]
-            scores = block.scores(vectors[start:start + ITEM_BATCH])
-            for n, r in enumerate(best_k(scores, part, k)):
-                s, c = np.concatenate([best[n], scores[n][r]]), np.concatenate([best_ids[n], part[r]])
-                order = np.lexsort((c, -s))[:k]
-                best[n], best_ids[n] = s[order], c[order]
-        return _frame([np.repeat(block.ids[n:n + 1], len(r)) for n, r in enumerate(best_ids)], best_ids, best, columns)
+        import pandas as pd
+        qids, qvs, ids, vectors = qs["q"].to_numpy(), qs["v"].tolist(), its["i"].to_numpy(), its["v"].tolist()
+        out = [_frame([], [], [], columns)]
+        for first in range(0, len(qids) if len(ids) else 0, BLOCK_ROWS):
+            block = Block(qids[first:first + BLOCK_ROWS], qvs[first:first + BLOCK_ROWS], sparse)
+            best = Running(block, k)
+            for start in range(0, len(ids), block.batch):
+                best.add(ids[start:start + block.batch], vectors[start:start + block.batch])
+            out.append(best.frame(columns))
+        return pd.concat(out[1:] or out, ignore_index=True)
 
     keys = ["b", "cq", "ci"]
     return q.groupBy(*keys).cogroup(i.groupBy(*keys)).applyInPandas(cell, schema)
@@ -173,7 +195,7 @@ def finish(found: DataFrame, k: int) -> DataFrame:
 
 
 def exact_topk(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str, query_vector: str = "vector",
-               item_vector: str = "vector", force_cells: bool = False) -> DataFrame:
+               item_vector: str = "vector") -> DataFrame:
     """(query id, item id, score, rank): the k items of largest dot product, ties by item id.
 
     Few queries: their block goes to all tasks and the items are scanned once. Few items: the other way round.
@@ -185,11 +207,11 @@ def exact_topk(queries: DataFrame, items: DataFrame, k: int, query_id: str, item
     q = queries.select(F.col(query_id).alias("q"), F.col(query_vector).alias("v"))
     i = items.select(F.col(item_id).alias("i"), F.col(item_vector).alias("v"))
     columns, schema = ["q", "i", "score"], _schema(q, i)
-    if not force_cells and block_fits(q, "v"):
+    if block_fits(q, "v", BLOCK_ROWS):
         block = _share_block(q, "q", sparse)
         out = finish(i.mapInPandas(_scan_items(block, columns, k), schema), k) if len(block.value.ids) else \
             finish(q.sparkSession.createDataFrame([], schema), k)
-    elif not force_cells and block_fits(i, "v"):
+    elif block_fits(i, "v", SHARED_ITEMS):
         found = q.mapInPandas(_scan_queries(_share_block(i, "i", sparse), columns, k), schema)
         out = finish(found, k)
     else:

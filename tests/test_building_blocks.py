@@ -102,8 +102,9 @@ def test_topk_three_ways(vectors, monkeypatch):
     items = df.withColumnRenamed("id", "item")
     want = brute(unit, 5)
     assert as_lists(topk.exact_topk(df, items, 5, "id", "item")) == want
-    monkeypatch.setattr(topk, "CELL_ITEMS", 70)
-    monkeypatch.setattr(topk, "BLOCK_ROWS", 90)
+    monkeypatch.setattr(topk, "CELL_ROWS", 70)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 30)
+    monkeypatch.setattr(topk, "SHARED_ITEMS", 90)
     assert as_lists(topk.exact_topk(df, items, 5, "id", "item")) == want  # too many rows to share: grid
     few = items.where("item < 80")
     got = as_lists(topk.exact_topk(df, few, 5, "id", "item"))
@@ -123,7 +124,7 @@ def test_sparse_topk_matches_dense(spark):
 @pytest.mark.parametrize("search,bound", [("cluster_pruning", 0.6), ("ivf_opq", 0.6), ("hkm", 0.6), ("lsh", 0.6)])
 def test_approximate_search_recall(vectors, search, bound, monkeypatch):
     unit, df = vectors
-    monkeypatch.setattr(topk, "CELL_ITEMS", 60)  # hot cells are cut up
+    monkeypatch.setattr(topk, "CELL_ROWS", 60)  # hot cells are cut up
     want = brute(unit, 10)
     got = as_lists(X.SEARCH_FUNCTIONS[search](df, df.withColumnRenamed("id", "item"), 10, "id", "item"))
     recall = np.mean([len(set(got.get(q, [])) & set(w)) / 10 for q, w in want.items()])
