@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from lumenfold.functions.skew import lookup_join
 from lumenfold.operators import features as E
 from lumenfold.operators.joins import apply_encoding
-from lumenfold.operators.metrics import ASCENDING, DEFAULT_METRIC, binary_metrics, multiclass_metrics, regression_metrics
+from lumenfold.operators.metrics import (ASCENDING, DEFAULT_METRIC, binary_metrics, multiclass_metrics, regression_metrics,
+                                         top_class)
 from lumenfold.operators.profile import numeric_columns, string_columns
 from lumenfold.operators.roles import ColumnRoles, assign_folds, split_holdout
 from lumenfold.session import cut_lineage
@@ -263,6 +264,23 @@ def fit_model(train: DataFrame, roles: ColumnRoles, problem: str, code: str, mod
     return FittedModel(name or code, code, problem, roles, encoder, fitted, classes, params, time.time() - start)
 
 
+@dataclass
+class NaiveBayesModel:
+    """Categorical naive Bayes over the string columns; the counts of the training table are the model."""
+
+    train: DataFrame
+    problem: str
+    roles: ColumnRoles
+    columns: Sequence[str]
+    classes: list[str]
+    params: dict = field(default_factory=dict)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        scored = df.join(naive_bayes(self.train, df, self.roles.target, self.columns, self.roles.id), self.roles.id)
+        probs = {c: F.col(f"pred_{c}") for c in self.classes}
+        return scored.select(*df.columns, top_class(probs).alias("prediction"), *probs.values())
+
+
 def problem_metric(scored: DataFrame, roles: ColumnRoles, problem: str, classes: Sequence[str], metric: str) -> float:
     """One metric of a scored table."""
     if problem == "regression":
@@ -353,16 +371,20 @@ def fit_experiment(df: DataFrame, roles: ColumnRoles, problem: str, config: Trai
         + [(c, "advanced", config.profile) for c in config.advanced]
     models, rows, tables, scores = {}, [], {}, {}
     for code, tier, profile in plans:
-        if code == "NBC" or (code == "NN" and problem == "regression"):
-            continue
-        model = fit_model(train, roles, problem, code, modules, profile, encoder, encoded, f"{code}-{tier}")
-        start = time.time()
-        scored = model.score_encoded(ready)
+        if code in ("NBC", "NN") and problem == "regression" or code == "NBC" and not encoder.strings:
+            continue  # classifiers only; naive Bayes needs a category
+        name, start = f"{code}-{tier}", time.time()
+        if code == "NBC":
+            model, fit_seconds = NaiveBayesModel(train, problem, roles, encoder.strings, classes), 0.0
+            scored = model.transform(holdout)
+        else:
+            model = fit_model(train, roles, problem, code, modules, profile, encoder, encoded, name)
+            fit_seconds, start = model.fit_seconds, time.time()
+            scored = model.score_encoded(ready)
         score = problem_metric(scored, roles, problem, classes, metric)
-        rows.append([model.name, code, tier, metric, score, {k: str(v) for k, v in model.params.items()},
-                     model.fit_seconds, time.time() - start])
-        models[model.name], scores[model.name] = model, score
-        tables[model.name] = scored
+        rows.append([name, code, tier, metric, score, {k: str(v) for k, v in model.params.items()}, fit_seconds,
+                     time.time() - start])
+        models[name], scores[name], tables[name] = model, score, scored
     if config.with_blend and len(models) > 1:
         rows.append(_blend_row(tables, scores, roles, problem, classes, metric, holdout))
     sign = 1 if metric in ASCENDING else -1

@@ -143,7 +143,7 @@ def fit_classification(spark, sf_dir):
 
 @register("m17_fit_multiclassification")
 def fit_multiclassification(spark, sf_dir):
-    config = M.TrainingConfig(advanced=(), normal=("LR",), simple=("DT",))
+    config = M.TrainingConfig(advanced=(), normal=("LR", "NBC"), simple=("DT",))
     return M.fit_multiclassification(multi_table(spark, sf_dir), MULTI_ROLES, config)[0]
 
 

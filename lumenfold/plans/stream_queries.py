@@ -1,4 +1,4 @@
-"""Streams over events, each with its batch twin as oracle; snapshots and the export log."""
+"""Streams over events, each with its batch twin as oracle; files written from the tables and read back."""
 
 from __future__ import annotations
 
@@ -112,3 +112,65 @@ def export_log(spark, sf_dir):
     K.export_log(spark, f"{path}/log", "nightly", target, spark.read.parquet(target).count())
     K.export_log(spark, f"{path}/log", "weekly", target, 0, "failed")
     return K.list_exports(spark, f"{path}/log", "nightly").select("exporter", "n_rows", "status")
+
+
+# --- files written from the tables and read back ------------------------------------------------------------------
+
+CUSTOMER_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+
+
+@register("s01_load_csv", "SELECT * FROM customer")
+def load_csv(spark, sf_dir):
+    target = K.write_csv(table(spark, sf_dir, "customer"), scratch_path(spark, "csv"), separator=";")
+    return R.load_csv(spark, target, ";", CUSTOMER_SCHEMA)
+
+
+@register("s03_sniff_formats", "SELECT c_custkey, c_acctbal FROM customer UNION ALL SELECT s_suppkey, s_acctbal FROM supplier")
+def sniff_formats(spark, sf_dir):
+    """Customers as Parquet and suppliers as CSV under one root, told apart by their first bytes."""
+    root = scratch_path(spark, "mixed")
+    table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal").write.parquet(f"{root}/kind=a")
+    table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_acctbal").alias("c_acctbal")) \
+        .write.option("header", True).csv(f"{root}/kind=b")
+    return R.load_directory(spark, f"{root}/kind=*", schema="c_custkey bigint, c_acctbal double")
+
+
+@register("s10_file_inventory", "SELECT 'parquet' AS extension, true AS has_files, true AS has_bytes")
+def file_inventory(spark, sf_dir):
+    root = scratch_path(spark, "files")
+    K.write_dataset(table(spark, sf_dir, "orders"), f"{root}/orders")
+    return R.inventory_totals(R.file_inventory(spark, root)).select("extension", (F.col("n_files") > 0).alias("has_files"),
+                                                                    (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@register("k01_write_csv", """SELECT c_custkey, replace(printf('%.2f', c_acctbal), '.', ',')::VARCHAR AS c_acctbal FROM customer""")
+def write_csv(spark, sf_dir):
+    target = K.write_csv(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), scratch_path(spark, "csv"),
+                         encoding="ISO-8859-1", separator="|", decimal=",", thousands=".")
+    rows = R.load_csv(spark, target, "|", "c_custkey bigint, c_acctbal string")
+    number = F.replace(F.replace("c_acctbal", F.lit("."), F.lit("")), F.lit(","), F.lit(".")).cast("decimal(20,2)")
+    return rows.select("c_custkey", F.replace(number.cast("string"), F.lit("."), F.lit(",")).alias("c_acctbal"))
+
+
+@register("k02_write_dataset", "SELECT * FROM customer")
+def write_dataset(spark, sf_dir):
+    target = K.write_dataset(table(spark, sf_dir, "customer"), scratch_path(spark, "zip"), "zip")
+    return R.load_csv(spark, target, schema=CUSTOMER_SCHEMA)
+
+
+@register("k04_write_replace", "SELECT s_suppkey, s_acctbal FROM supplier")
+def write_replace(spark, sf_dir):
+    path = scratch_path(spark, "replace")
+    K.write_dataset(table(spark, sf_dir, "supplier"), path)
+    return R.load_parquet(spark, K.write_dataset(table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal"), path, mode="replace"))
+
+
+@register("k06_write_timestamp", "SELECT * FROM supplier")
+def write_timestamp(spark, sf_dir):
+    return R.load_parquet(spark, K.write_dataset(table(spark, sf_dir, "supplier"), scratch_path(spark, "stamped"), mode="timestamp"))
+
+
+@register("k08_export_prediction", "SELECT o_orderkey, o_totalprice, 'experiment' AS prediction_type FROM orders")
+def export_prediction(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return R.load_parquet(spark, K.export_prediction(rows, scratch_path(spark, "prediction"), "experiment"))

@@ -8,6 +8,8 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from lumenfold.functions.skew import spread
+
 PARQUET_MAGIC = b"PAR1"
 ORIGINS = ("pipeline_output", "pipeline_intermediate_file")
 REMOTE_SCHEMES = {"s3": "s3a", "gcs": "gs", "ftp": "ftp", "sftp": "sftp", "file": "file"}
@@ -37,10 +39,20 @@ def load_parquet(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def sniff_formats(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
-    """(path, format) by the first four bytes of each file; only those bytes leave the file reader."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(directory)
-    return files.select("path", F.when(F.substring("content", 1, 4) == F.lit(PARQUET_MAGIC), "parquet")
-                        .otherwise("csv").alias("format"))
+    """(path, format) by the first four bytes of each file. Tasks open the files themselves, so nothing else is read."""
+    files = spread(spark.read.format("binaryFile").option("recursiveFileLookup", recursive).load(directory).select("path"))
+
+    def peek(batches):
+        from pyarrow import fs
+        for b in batches:
+            kinds = []
+            for path in b["path"]:
+                store, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1).replace("file:/", "file:///", 1)
+                                                     if not path.startswith("file:///") else path)
+                with store.open_input_file(name) as f:
+                    kinds.append("parquet" if f.read(len(PARQUET_MAGIC)) == PARQUET_MAGIC else "csv")
+            yield b[["path"]].assign(format=kinds)
+    return files.mapInPandas(peek, "path string, format string")
 
 
 def load_directory(spark: SparkSession, directory: str, sep: str = ",", schema: str | None = None) -> DataFrame:

@@ -75,6 +75,14 @@ def test_experiment_tags_and_blend(reg):
     assert sum("best" in r["tags"] for r in rows) == sum("fastest" in r["tags"] for r in rows) == 1
 
 
+def test_naive_bayes_joins_the_leaderboard(spark):
+    df = spark.range(200).select("id", F.when(F.col("id") % 3 == 0, "x").otherwise("y").alias("c"),
+                                 F.when(F.col("id") % 3 == 0, "yes").otherwise("no").alias("t"))
+    board, models = M.fit_classification(df, ROLES, M.TrainingConfig(advanced=(), normal=("NBC",), features=("freq",)))
+    assert board.first()["score"] == pytest.approx(1.0)
+    assert models["NBC-normal"].transform(df).where("prediction <> t").isEmpty()
+
+
 def test_configs():
     assert M.TrainingConfig.preset("quick").simple == ["DT"] and "pca" not in M.TrainingConfig.preset("base").features
     assert "NN" not in M.TrainingConfig.preset("quick").advanced and M.TrainingConfig.preset("nano").features == []
