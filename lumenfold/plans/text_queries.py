@@ -112,7 +112,7 @@ def preprocess_plain(spark, sf_dir):
 
 @register("x02_detect_lang", f"SELECT doc_id, lang, {detect_sql('tok')} AS detected FROM (SELECT doc_id, lang, {TOKENS_SQL} AS tok FROM documents) t")
 def detect_lang(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "lang", TX.detect_language(TX.tokens("text")).alias("detected"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).select("doc_id", "lang", TX.detect_language(TX.tokens("text")).alias("detected"))
 
 
 # --- vectors ------------------------------------------------------------------------------------------------------
