@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["op6_neardup", "op9_substrings"]
+MODULES = ["op2_quality", "op4_sharding", "op6_neardup", "op9_substrings"]
 
 
 def load_all():
