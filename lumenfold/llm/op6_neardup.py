@@ -7,8 +7,8 @@ equal to their similarity, with the concentration of independent bins, and a set
 
 A document is linked with another if 100 * |intersection| >= 75 * |union| of their shingle sets. Candidates share a band
 of the sketch (64 bands of 6 bins: a pair at the threshold is missed with probability 4e-6); each is confirmed on the full
-sets. No bucket is compared in full: first every member with the bucket's smallest id, then only members that this left
-in different components.
+sets. First every member is compared with its bucket's smallest id; then only buckets that this left in different components
+are looked at again, by sketches in bounded blocks, and the pairs that may be links are confirmed as well.
 
 Cases: null, empty or blank text has an empty set and no links. Rows that repeat a doc_id are one document (their links
 are joined). A null doc_id has a null component and is kept. Extra columns are not read. Ties go to the smallest doc_id.
@@ -24,7 +24,7 @@ from lumenfold.llm.common import components, stored, table
 from lumenfold.llm.wordhash import mix, pieces
 
 BANDS, WIDTH, SHINGLE = 64, 6, 5
-CHUNK = 64
+CHUNK, BLOCK, LIKELY = 64, 256, 0.66
 SKETCH_SCHEMA = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"
 
 
@@ -140,7 +140,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = stored(filled.groupBy("k1", "k2", "n_shingles").agg(F.min("doc_id").alias("rep")), "classes")
     heads = filled.join(classes, (filled.doc_id == classes.rep) & (filled.k1 == classes.k1) & (filled.k2 == classes.k2),
                         "left_semi").dropDuplicates(["doc_id", "k1", "k2"])
-    bands = heads.select(F.explode("bands").alias("band"), F.col("doc_id").alias("rep"), F.col("n_shingles").cast("int").alias("n"))
+    bands = heads.select(F.posexplode("bands").alias("no", "band"), F.col("doc_id").alias("rep"), F.col("n_shingles").cast("int").alias("n"))
     buckets = bands.groupBy("band").agg(F.min("rep").alias("leader"), F.max("rep").alias("other"), F.min_by("n", "rep").alias("n_leader"))
     shared = stored(bands.join(buckets.where("leader <> other").drop("other"), "band"), "shared")
 
@@ -153,7 +153,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = stored(source.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]), "texts")
     twice = _several_texts(filled, classes)
     links = stored(confirmed(pairs, texts).union(twice), "links")
-    rest = _unresolved(shared, components(links), pairs, close)
+    rest = _unresolved(shared, components(links), pairs, texts)
     if rest.limit(1).count():
         links = links.union(stored(confirmed(rest, texts), "links"))
     joined = components(links).withColumnRenamed("node", "rep")
@@ -172,17 +172,55 @@ def _several_texts(filled: DataFrame, classes: DataFrame) -> DataFrame:
     return reps.where("a <> b").distinct()
 
 
-def _unresolved(shared: DataFrame, comps: DataFrame, done: DataFrame, close) -> DataFrame:
-    """Pairs (leader, member) of a bucket in different components that no comparison has seen yet."""
+def signatures(batches):
+    """One byte of each bin of the sketch."""
+    for batch in batches:
+        for p in pieces(batch.column("text"), lower=True):
+            bins = (mix(sketch(*shingle_sets(p), BANDS * WIDTH)) & np.uint64(255)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(p.row, p.rows), pa.array([x.tobytes() for x in bins], pa.binary())],
+                                             ["rep", "signature"])
+
+
+def _likely(block: pa.Table) -> pa.Table:
+    """Pairs of a bounded block in different components whose sketches agree in LIKELY of the bins or more."""
+    rep, comp, n = (block.column(x).to_numpy() for x in ("rep", "component", "n"))
+    chunk, low, high = block.column("chunk").to_numpy(), block.column("low")[0].as_py(), block.column("high")[0].as_py()
+    no = block.column("no")[0].as_py()
+    bins = np.frombuffer(b"".join(block.column("signature").to_pylist()), np.uint8).reshape(len(rep), -1)
+    kinds, counts = np.unique(comp, return_counts=True)
+    common = kinds[counts.argmax()]
+    a, b = [], []
+    for i in np.flatnonzero(comp != common):
+        other = (comp != comp[i]) & ((comp == common) | (rep > rep[i])) & (100 * np.minimum(n, n[i]) >= 75 * np.maximum(n, n[i]))
+        if low != high:
+            other &= chunk != chunk[i]
+        j = np.flatnonzero(other)
+        same = bins[j] == bins[i]
+        # a pair that shares several bands is reported by the first of them
+        shared = same.reshape(len(j), BANDS, WIDTH).all(2)
+        j = j[(same.sum(1) >= LIKELY * bins.shape[1]) & ~shared[:, :no].any(1)]
+        a.extend(np.minimum(rep[j], rep[i]))
+        b.extend(np.maximum(rep[j], rep[i]))
+    return pa.table({"leader": pa.array(a, pa.int64()), "member": pa.array(b, pa.int64())})
+
+
+def _unresolved(shared: DataFrame, comps: DataFrame, done: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (leader, member) of a bucket in different components that may be links and that no comparison has seen yet.
+
+    Only buckets that span several components are read. Their members are compared by their sketches in blocks of bounded
+    size; a pair at the threshold agrees in fewer than LIKELY of its bins with a probability of 2e-5.
+    """
     comp = comps.withColumnRenamed("node", "rep")
-    rows = shared.join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = rows.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
-    rows = stored(rows.join(mixed, "band", "left_semi"), "mixed")
-    head = rows.where("rep = leader").select("band", F.col("component").alias("c_leader")).dropDuplicates(["band"])
-    rows = rows.join(head, "band").where("rep <> leader")
-    out = rows.where("component <> c_leader").select("band", F.col("rep").alias("u"), F.col("n").alias("n_u"), F.col("component").alias("c_u"))
-    met = out.join(rows.select("band", "rep", "n", "component"), "band").where((F.col("component") != F.col("c_u")) & close("n", "n_u"))
-    pairs = met.select(F.least("u", "rep").alias("leader"), F.greatest("u", "rep").alias("member")).distinct()
+    rows = shared.join(comp, "rep", "left").select("band", "no", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    mixed = rows.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                     F.ceil(F.count(F.lit(1)) / BLOCK).alias("chunks")).where("lo <> hi").select("band", "chunks")
+    rows = stored(rows.join(mixed, "band").withColumn("chunk", F.pmod(F.xxhash64("rep"), "chunks")), "mixed")
+    members = texts.join(rows.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    signed = stored(members.select("doc_id", "text").mapInArrow(signatures, "rep long, signature binary"), "signatures")
+    placed = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    placed = placed.join(signed, "rep").select("band", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+                                               "no", "chunk", "rep", "n", "component", "signature")
+    pairs = placed.groupBy("band", "low", "high").applyInArrow(_likely, "leader long, member long").distinct()
     return stored(pairs.join(done, ["leader", "member"], "left_anti"), "rest")
 
 
