@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -12,13 +13,21 @@ def split(text):
 
 
 def brute(docs, items):
-    """{doc index: item ids} by laying every item over every document at every offset."""
+    """Item ids of each document: every item is laid over it at every offset with the seven equal words that any overlap needs."""
     code = {}
     ids = [(i, np.array([code.setdefault(w, len(code)) for w in split(t)])) for i, t in items]
     out = []
     for _, text in docs:
         d = np.array([code.setdefault(w, len(code)) for w in split(text)])
-        out.append({i for i, t in ids if len(t) >= 8 and any(overlaps(t, d, o) for o in range(-len(t) + 8, len(d)))})
+        place = {}
+        for j, w in enumerate(d.tolist()):
+            place.setdefault(w, []).append(j)
+        hit = set()
+        for i, t in ids:
+            equal = Counter(j - k for k, w in enumerate(t.tolist()) for j in place.get(w, ()))
+            if len(t) >= 8 and any(overlaps(t, d, o) for o, n in equal.items() if n >= 7):
+                hit.add(i)
+        out.append(hit)
     return out
 
 
