@@ -6,7 +6,7 @@ most of what the rules before it let through, per second. The verdict is a CASE
 only read until its first failing rule. The order changes the work and never the verdict.
 
 Cases: null text has no words; a text without words fails. Rows stay as they are, repeated or not, and an empty table gives
-an empty result (rules then keep their given order). Added columns get underscores where their names clash.
+an empty result (rules then keep their given order). No helper columns are added, so none clash.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumenfold.llm.common import fresh, stored, table, words
+from lumenfold.llm.common import stored, table, words
 
 SAMPLE_ROWS = 2000
 SHINGLE = 5
@@ -83,30 +83,36 @@ def first_failed(text: Column, w: Column, rules: Sequence[Rule]) -> Column:
     return case if case is not None else F.lit(None).cast("string")
 
 
-def base_measures(docs: DataFrame, text: Column) -> tuple[DataFrame, dict[str, Column]]:
-    """docs with helper columns, and the columns of the base counts.
+def let(value: Column, use) -> Column:
+    """use(value), with value evaluated once per row however often use refers to it and wherever the optimizer moves it."""
+    return F.get(F.transform(F.array(value), use), 0)
 
-    Windows of five words are compared by 64-bit hashes; only texts with a repeated hash sort them with their places.
+
+def repeat_words(w: Column) -> Column:
+    """The words of array w inside five-word windows found twice or more.
+
+    Windows are compared by 64-bit hashes; only texts with a repeated hash sort them with their places.
     """
-    names = {k: fresh(docs, f"_{k}") for k in ("text", "words", "hash", "sorted", "places")}
-    c = {k: F.col(f"`{v}`") for k, v in names.items()}
-    docs = docs.withColumn(names["text"], F.coalesce(text, F.lit("")))
-    docs = docs.withColumn(names["words"], words(c["text"]))
-    docs = docs.withColumn(names["hash"], F.when(F.size(c["words"]) >= SHINGLE, F.transform(
-        F.sequence(F.lit(1), F.size(c["words"]) - (SHINGLE - 1)), lambda i: F.xxhash64(F.slice(c["words"], i, SHINGLE)))))
-    docs = docs.withColumn(names["sorted"], F.when(
-        F.size(F.array_distinct(c["hash"])) < F.size(c["hash"]),
-        F.array_sort(F.transform(c["hash"], lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    docs = docs.withColumn(names["places"], F.array_sort(F.transform(
-        F.filter(c["sorted"], lambda p, i: (p["h"] == F.get(c["sorted"], i - 1)["h"]) | (p["h"] == F.get(c["sorted"], i + 1)["h"])),
-        lambda p: p["i"])))
-    covered = F.aggregate(F.transform(c["places"], lambda p, i: F.least(F.lit(SHINGLE), F.coalesce(F.get(c["places"], i + 1) - p, F.lit(SHINGLE)))),
-                          F.lit(0), lambda a, b: a + b)
-    lines = worded_lines(c["text"])
-    measures = {"n_words": F.size(c["words"]), "word_chars": F.char_length(F.array_join(c["words"], "")),
-                "n_symbols": removed_chars(c["text"], "[#*$%&|<>]"), "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
-                "n_repeat_words": F.coalesce(covered, F.lit(0)), "_text": c["text"], "_words": c["words"]}
-    return docs, measures
+    hashes = F.transform(F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1)), lambda i: F.xxhash64(F.slice(w, i, SHINGLE)))
+
+    def places(p: Column) -> Column:
+        twice = F.filter(p, lambda x, i: (x["h"] == F.get(p, i - 1)["h"]) | (x["h"] == F.get(p, i + 1)["h"]))
+        return F.array_sort(F.transform(twice, lambda x: x["i"]))
+
+    def covered(at: Column) -> Column:
+        return F.aggregate(at, F.struct(F.lit(0).alias("n"), F.lit(-SHINGLE).alias("last")),
+                           lambda s, i: F.struct((s["n"] + F.least(F.lit(SHINGLE), i - s["last"])).alias("n"), i.alias("last")),
+                           lambda s: s["n"])
+
+    def count(h: Column) -> Column:
+        paired = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(let(paired, lambda p: let(places(p), covered)))
+
+    return F.when(F.size(w) < SHINGLE, 0).otherwise(let(hashes, count))
+
+
+def dup_lines(text: Column) -> Column:
+    return let(worded_lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
 
 def base_failed(n_words: Column, n_repeat: Column) -> Column:
@@ -116,21 +122,37 @@ def base_failed(n_words: Column, n_repeat: Column) -> Column:
 def quality(docs: DataFrame, rules: Sequence[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Base counts and verdict of each row."""
     rules = measured_order(docs, default_rules() if rules is None else rules, text_col)
-    rows, m = base_measures(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), F.col("text"))
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    rows = rows.select("doc_id", *[m[n].cast("long").alias(n) for n in names], m["_text"].alias("_t"), m["_words"].alias("_w"))
-    failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
-    verdict = F.when(failed, F.lit(False)).otherwise(first_failed(F.col("_t"), F.col("_w"), rules).isNull())
-    return rows.select("doc_id", *names, failed.alias("base_failed"), verdict.alias("kept"))
+    counts = {"n_words": lambda t, w: F.size(w), "word_chars": lambda t, w: F.char_length(F.array_join(w, "")),
+              "n_symbols": lambda t, w: removed_chars(t, "[#*$%&|<>]"), "n_dup_lines": lambda t, w: dup_lines(t),
+              "n_repeat_words": lambda t, w: repeat_words(w)}
+
+    def measured(t: Column, w: Column) -> Column:
+        base = F.struct(*[f(t, w).cast("long").alias(n) for n, f in counts.items()])
+        return let(base, lambda m: F.struct(m.alias("m"), failing(t, w, m).alias("reason")))
+
+    def failing(t: Column, w: Column, m: Column) -> Column:
+        return F.when(base_failed(m["n_words"], m["n_repeat_words"]), F.lit("")).otherwise(first_failed(t, w, rules))
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    found = let(text, lambda t: let(words(t), lambda w: measured(t, w)))
+    rows = docs.select(F.col(id_col).alias("doc_id"), found.alias("f"))
+    return rows.select("doc_id", *[F.col(f"f.m.{n}").alias(n) for n in counts],
+                       F.coalesce(F.col("f.reason") == "", F.lit(False)).alias("base_failed"), F.col("f.reason").isNull().alias("kept"))
 
 
 def kept_rows(docs: DataFrame, rules: Sequence[Rule] | None = None, text_col: str = "text") -> DataFrame:
-    """The rows of docs that the base rule and the cascade keep, with their own columns."""
+    """The rows of docs that the base rule and the cascade keep, with their own columns.
+
+    The repeated windows, the dearest measure, are only looked for in what all other rules let through.
+    """
     rules = measured_order(docs, default_rules() if rules is None else rules, text_col)
-    rows, m = base_measures(docs, F.col(text_col))
-    keep = F.when(m["n_words"] < 10, False).when(first_failed(m["_text"], m["_words"], rules).isNotNull(), False).when(
-        base_failed(m["n_words"].cast("long"), m["n_repeat_words"].cast("long")), False).otherwise(True)
-    return rows.where(keep).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+    def keep(t: Column, w: Column) -> Column:
+        return F.when(F.size(w) < 10, False).when(first_failed(t, w, rules).isNotNull(), False).otherwise(
+            ~base_failed(F.size(w).cast("long"), repeat_words(w).cast("long")))
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.where(let(text, lambda t: let(words(t), lambda w: keep(t, w))))
 
 
 def op2(spark, sf_dir) -> DataFrame:
