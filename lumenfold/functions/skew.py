@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lumenfold.session import cut_lineage
 
@@ -23,27 +25,26 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
-
-
 def hot_key_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join to a table that is unique on keys.
 
     Keys above HOT_SHARE of the left rows number fewer than 1/HOT_SHARE, so their right rows are a bounded
-    broadcast; all other keys go through a normal shuffled join.
+    broadcast; all other keys go through a normal shuffled join. Rows with a NULL key find nothing and are not shuffled.
     """
     keys = list(keys)
+    no_key = reduce(or_, [left[k].isNull() for k in keys])
+    partnerless, left = left.where(no_key), left.where(~no_key)
     counts = left.groupBy(*keys).count()
     total = left.select(F.count(F.lit(1)).alias("n")).scalar()
     hot = F.broadcast(counts.where(F.col("count") > F.greatest(total * F.lit(HOT_SHARE), F.lit(1000))).select(*keys))
     right_hot = F.broadcast(right.join(hot, keys, "left_semi"))
     left_hot = left.join(hot, keys, "left_semi").join(right_hot, keys, how)
     left_cold = left.join(hot, keys, "left_anti").join(right, keys, how)
-    return left_cold.unionByName(left_hot)
+    out = left_cold.unionByName(left_hot)
+    if how not in ("left", "left_outer", "leftouter"):
+        return out
+    new = [f for f in right.schema.fields if f.name not in keys]
+    return out.unionByName(partnerless.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in new]))
 
 
 def lookup_join(left: DataFrame, mapping: DataFrame, keys: Sequence[str], how: str = "left",

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from itertools import combinations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (IDF, PCA, HashingTF, StandardScaler, UnivariateFeatureSelector, VectorAssembler,
+from pyspark.ml.feature import (IDF, PCA, HashingTF, Imputer, StandardScaler, UnivariateFeatureSelector, VectorAssembler,
                                 Word2Vec)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
@@ -16,7 +16,7 @@ from lumenfold.functions.skew import lookup_join, spread
 from lumenfold.functions.text import explode_words, tokens
 from lumenfold.operators.joins import apply_encoding
 from lumenfold.operators.metrics import ratio
-from lumenfold.operators.profile import numeric_columns, string_columns, to_rows, unpivot
+from lumenfold.operators.profile import numeric_columns, pearson, string_columns, to_rows, unpivot
 from lumenfold.operators.roles import is_null_value
 from lumenfold.session import cut_lineage
 
@@ -82,15 +82,16 @@ def weigh_terms(counts: DataFrame, doc_id: str, vocab: DataFrame) -> DataFrame:
         .select(doc_id, "term", "tf", (F.col("tf") * F.col("idf")).alias("weight"))
 
 
-def text_tfidf(docs: DataFrame, doc_id: str, text: str, n_terms: int = 1000) -> DataFrame:
+def text_tfidf(docs: DataFrame, doc_id: str, text: str, n_terms: int | None = None) -> DataFrame:
     counts = term_counts(spread(docs.select(doc_id, text)).select(doc_id, tokens(text).alias("words")), doc_id, "words")
     n = docs.select(F.count(F.lit(1))).scalar()
     return weigh_terms(counts, doc_id, vocabulary(counts, n, n_terms))
 
 
 def text_word2vec(docs: DataFrame, text: str, dim: int = 32, out: str = "text_vector", seed: int = 7,
-                  partitions: int = 1, min_count: int = 5, max_iter: int = 1) -> DataFrame:
-    """Mean of the word vectors of each text."""
+                  partitions: int | None = None, min_count: int = 1, max_iter: int = 1) -> DataFrame:
+    """Mean of the word vectors of each text; trained on as many partitions as the session has cores, unless told otherwise."""
+    partitions = partitions or docs.sparkSession.sparkContext.defaultParallelism
     rows = spread(docs).withColumn("_words", tokens(text))
     model = Word2Vec(vectorSize=dim, inputCol="_words", outputCol="_v", seed=seed, numPartitions=partitions,
                      minCount=min_count, maxIter=max_iter).fit(rows.select("_words"))
@@ -150,9 +151,16 @@ def polynomial(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.withColumns(new)
 
 
+def filled_columns(columns: Sequence[str]) -> list[str]:
+    """Helper columns of standard_vector."""
+    return [f"_filled_{i}" for i in range(len(columns))]
+
+
 def standard_vector(df: DataFrame, columns: Sequence[str]) -> PipelineModel:
-    """Fitted assembly and standardisation of numeric columns into the vector column _std."""
-    return Pipeline(stages=[VectorAssembler(inputCols=list(columns), outputCol="_raw", handleInvalid="skip"),
+    """Fitted assembly and standardisation of numeric columns into the vector column _std; NULL and NaN count as the mean."""
+    filled = filled_columns(columns)
+    return Pipeline(stages=[Imputer(inputCols=list(columns), outputCols=filled, strategy="mean"),
+                            VectorAssembler(inputCols=filled, outputCol="_raw", handleInvalid="keep"),
                             StandardScaler(inputCol="_raw", outputCol="_std", withMean=True, withStd=True)]).fit(df)
 
 
@@ -160,7 +168,7 @@ def pca(df: DataFrame, columns: Sequence[str], k: int = 2, out: str = "pca") ->
     """Standardise, then project on the k main axes."""
     scaled = standard_vector(df, columns).transform(df)
     model = PCA(inputCol="_std", outputCol="_axes", k=k).fit(scaled)
-    return model.transform(scaled).withColumn(out, vector_to_array("_axes")).drop("_raw", "_std", "_axes")
+    return model.transform(scaled).withColumn(out, vector_to_array("_axes")).drop("_raw", "_std", "_axes", *filled_columns(columns))
 
 
 def kmean(df: DataFrame, columns: Sequence[str], k: int = 5, seed: int = 7) -> DataFrame:
@@ -171,14 +179,14 @@ def kmean(df: DataFrame, columns: Sequence[str], k: int = 5, seed: int = 7) -> D
     point = vector_to_array("_std")
     return model.transform(scaled).withColumn("_point", point).withColumn("centre_distances", F.transform(
         centres, lambda c: F.sqrt(F.aggregate(F.zip_with("_point", c, lambda x, y: (x - y) * (x - y)), F.lit(0.0),
-                                              lambda acc, d: acc + d)))).drop("_raw", "_std", "_point")
+                                              lambda acc, d: acc + d)))).drop("_raw", "_std", "_point", *filled_columns(columns))
 
 
 def feature_scores(df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str] = ()) -> DataFrame:
     """(feature, score): |correlation| with the target for numbers, correlation ratio for categories."""
     parts = []
     if numeric:
-        wide = df.agg(*[F.abs(F.corr(c, target)).alias(f"s{i}") for i, c in enumerate(numeric)])
+        wide = df.agg(*[F.abs(pearson(c, target)).alias(f"s{i}") for i, c in enumerate(numeric)])
         parts.append(to_rows(wide, [[F.lit(c).alias("feature"), F.col(f"s{i}").alias("score")]
                                     for i, c in enumerate(numeric)]))
     if categorical:

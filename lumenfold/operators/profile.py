@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from lumenfold.functions.ranking import exact_percentiles
@@ -17,7 +15,8 @@ from lumenfold.operators.roles import ColumnRoles, is_null_value
 ORDINAL_MAX_DISTINCT = 20
 TEXT_MIN_TOKENS = 5
 TEXT_MIN_DISTINCT_SHARE = 0.5
-WIDE_CORRELATION = 20
+#: Pairs of columns computed in one pass over the table.
+WIDE_CORRELATION = 300
 
 _INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _REALS = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -177,22 +176,29 @@ def dropped_features(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     return df.sparkSession.createDataFrame(reasons, "feature string, reason string")
 
 
+def pearson(a: str, b: str) -> Column:
+    """Pearson correlation over the rows where both columns have a value; NULL where one of them is constant there."""
+    x, y = (F.when(F.col(other).isNotNull(), F.col(c).cast("double")) for c, other in ((a, b), (b, a)))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation in long form (a, b, score): symmetric, diagonal 1. One pass."""
+    """Pearson correlation in long form (a, b, score): symmetric, diagonal 1. One pass for each WIDE_CORRELATION pairs.
+
+    Each pair is judged on the rows where both columns have a value, at every number of columns; the score is NULL where one is constant.
+    """
     columns = list(columns or numeric_columns(df))
-    if len(columns) > WIDE_CORRELATION:
-        vectors = VectorAssembler(inputCols=columns, outputCol="v", handleInvalid="skip").transform(df).select("v")
-        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-        cells = [(a, b, 1.0 if i == j else float(matrix[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-        return df.sparkSession.createDataFrame(cells, "a string, b string, score double")
     pairs = list(combinations(range(len(columns)), 2))
-    wide = df.agg(F.lit(1.0).alias("one"), *[F.corr(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in pairs])
-    lines = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            score = F.col("one") if i == j else F.col(f"c{min(i, j)}_{max(i, j)}")
-            lines.append([F.lit(a).alias("a"), F.lit(b).alias("b"), score.alias("score")])
-    return to_rows(wide, lines)
+    out = None
+    for start in range(0, max(1, len(pairs)), WIDE_CORRELATION):
+        part = pairs[start:start + WIDE_CORRELATION]
+        wide = df.agg(F.lit(1.0).alias("one"), *[pearson(columns[i], columns[j]).alias(f"c{i}_{j}") for i, j in part])
+        cells = [(x, y, F.col(f"c{i}_{j}")) for i, j in part for x, y in ((i, j), (j, i))]
+        if start == 0:
+            cells += [(i, i, F.col("one")) for i in range(len(columns))]
+        rows = to_rows(wide, [[F.lit(columns[x]).alias("a"), F.lit(columns[y]).alias("b"), score.alias("score")] for x, y, score in cells])
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def without_charts(stats: str | Column) -> Column:

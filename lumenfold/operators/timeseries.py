@@ -115,12 +115,16 @@ def fit_timeseries(series: DataFrame, groups: Sequence[str], step: str, target:
                    apriori: Sequence[str] = (), learner=None):
     """Regression of the target at t + h on the derivation window, the horizon and the a-priori columns.
 
-    Returns (model, predictions with columns groups, step, horizon, label, naive, prediction).
+    Returns (model, predictions with columns groups, step, horizon, label, naive, prediction): one for every label. An input that is
+    missing, as the spread of a single point, counts as 0, with an indicator column beside it.
     """
     past = seasonal_naive(derivation_aggs(series, groups, step, [target], window), groups, step, target, window)
     inputs = [f"{target}_{a}" for a in ("mean", "min", "max", "std", "count")] + ["naive"]
     rows = forecast_targets(past, groups, step, target, window, apriori, keep=inputs)
     features = [*inputs, "horizon", *[f"{c}_ahead" for c in apriori]]
-    ready = VectorAssembler(inputCols=features, outputCol="features").transform(rows.dropna(subset=[*features, "label"]))
+    gaps = {f"_no_{c}": F.col(c).isNull().cast("double") for c in features}
+    labelled = rows.where(F.col("label").isNotNull()).withColumns(gaps)
+    filled = labelled.withColumns({f"_in_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
+    ready = VectorAssembler(inputCols=[*[f"_in_{c}" for c in features], *gaps], outputCol="features").transform(filled)
     model = (learner or LinearRegression(regParam=1e-3)).fit(ready)
     return model, model.transform(ready).select(*groups, step, "horizon", "label", "naive", "prediction")

@@ -117,22 +117,20 @@ def detect_lang(spark, sf_dir):
 
 # --- vectors ------------------------------------------------------------------------------------------------------
 
-def vectors_sql(docs_words: str, query_words: str, limit: str = "") -> str:
+def vectors_sql(docs_words: str, query_words: str) -> str:
     """it(doc_id, term, w) and qu(item_id, term, w): unit tf-idf vectors with the catalogue's idf."""
     def unit(name, raw, key):
         return f"""{name}0 AS (SELECT {key}, term, count(*) * max(idf) AS w FROM {raw} JOIN vocab USING (term) GROUP BY ALL),
 {name} AS (SELECT {key}, term, w / sqrt(sum(w * w) OVER (PARTITION BY {key})) AS w FROM {name}0 WHERE w > 0)"""
     return f"""dw AS (SELECT doc_id, unnest(words) AS term FROM {docs_words} a),
 qw AS (SELECT item_id, unnest(words) AS term FROM {query_words} a),
-vocab AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(DISTINCT doc_id) + 1)) AS idf FROM dw GROUP BY term
-    {limit}),
+vocab AS (SELECT term, ln(((SELECT count(*) FROM documents) + 1) / (count(DISTINCT doc_id) + 1)) AS idf FROM dw GROUP BY term),
 {unit('it', 'dw', 'doc_id')},
 {unit('qu', 'qw', 'item_id')}"""
 
 
 PLAIN_VECTORS = vectors_sql(f"(SELECT doc_id, {TOKENS_SQL} AS words FROM documents)",
-                            f"(SELECT item_id, {TOKENS_SQL} AS words FROM benchmark)",
-                            "ORDER BY count(DISTINCT doc_id) DESC, term LIMIT 1000")
+                            f"(SELECT item_id, {TOKENS_SQL} AS words FROM benchmark)")
 
 
 @register("x03_tfidf_vectors", f"""WITH {PLAIN_VECTORS} SELECT 'item' AS side, doc_id AS id, term, round(w, 6) AS weight FROM it
@@ -141,7 +139,7 @@ def tfidf_vectors(spark, sf_dir):
     docs = catalogue(spark, sf_dir)
     counts = term_counts(spread(docs).select("doc_id", TX.tokens("text").alias("words")), "doc_id", "words")
     passages = table(spark, sf_dir, "benchmark").select("item_id", TX.tokens("text").alias("words"))
-    vocab = vocabulary(counts, docs.select(F.count(F.lit(1))).scalar(), 1000)
+    vocab = vocabulary(counts, docs.select(F.count(F.lit(1))).scalar())
     items = X.tfidf_weights(counts, "doc_id", vocab)
     queries = X.tfidf_weights(term_counts(passages, "item_id", "words"), "item_id", vocab)
     return rounded(items.select(F.lit("item").alias("side"), F.col("doc_id").alias("id"), "term", "weight").unionByName(

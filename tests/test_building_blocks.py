@@ -140,3 +140,19 @@ def test_search_arguments(vectors):
     sparse = df.select("id", F.struct(F.array(F.lit("a")).alias("terms"), F.array(F.lit(1.0)).alias("weights")).alias("vector"))
     with pytest.raises(ValueError):
         X.search_lsh(sparse, sparse, 3, "id", "id")
+
+
+def test_null_keys_are_kept_apart(spark, monkeypatch):
+    from lumenfold.functions import skew
+    left = spark.range(6000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN id % 5 WHEN id % 3 = 1 THEN 7 END AS k")
+    right = spark.createDataFrame([(0, "a"), (7, "h"), (None, "n")], "k long, v string")
+    got = skew.hot_key_join(left, right, ["k"]).groupBy("k", "v").count().collect()
+    assert {(r.k, r.v): r["count"] for r in got} == {(0, "a"): 400, (7, "h"): 2000, (None, None): 2000, **{(i, None): 400 for i in range(1, 5)}}
+    assert skew.hot_key_join(left, right, ["k"], "inner").count() == 2400
+
+
+def test_one_vector_per_row(spark):
+    from lumenfold.operators import features as E
+    df = spark.range(100).selectExpr("id", "CASE WHEN id % 10 > 0 THEN 1.0D * id END AS a", "CASE WHEN id % 7 > 0 THEN id * 0.5D ELSE double('NaN') END AS b")
+    assert E.pca(df, ["a", "b"]).count() == 100 == E.kmean(df, ["a", "b"], 2).count()
+    assert E.pca(df, ["a", "b"]).columns == ["id", "a", "b", "pca"]

@@ -149,3 +149,12 @@ def test_future_enters_only_a_priori(spark):
     df = spark.createDataFrame(rows, "g string, step int, v double, known double")
     out = S.forecast_targets(df, ["g"], "step", "v", S.TimeWindow(-10, -5, 3, 4), ["known"]).where("step = 5").orderBy("horizon").collect()
     assert [(r["horizon"], r["label"], r["known_ahead"]) for r in out] == [(3, 8.0, 80.0), (4, 9.0, 90.0)]
+
+
+def test_correlation_with_gaps_and_constants(spark):
+    rows = [(float(i), 2.0 * i, 5.0, 1.0 if i == 0 else None) for i in range(50)] + [(None, 7.0, 5.0, None), (3.0, None, 5.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    df = df.withColumns({f"e{i}": F.col("b") + F.rand(i) for i in range(20)})
+    got = {(r["a"], r["b"]): r["score"] for r in A.correlation_matrix(df).collect()}
+    assert len(got) == 24 * 24 and got["a", "b"] == pytest.approx(1.0)
+    assert got["a", "c"] is None and got["d", "a"] is None and got["c", "c"] == 1.0
