@@ -227,6 +227,16 @@ def with_label(df: DataFrame, roles: ColumnRoles, classes: Sequence[str]) -> Dat
     return df.withColumn("_y", y).where(F.col("_y").isNotNull())
 
 
+def _search_folds(df: DataFrame, roles: ColumnRoles) -> tuple[DataFrame, int]:
+    """df with _cv_fold numbered from 0, and the number of folds: the user's folds (NULL is one of them), else three by key hash."""
+    if roles.fold:
+        values = sorted((r[0] for r in df.select(roles.fold).distinct().collect()), key=lambda v: (v is not None, v))
+        if len(values) > 1:
+            number = F.coalesce(*[F.when(F.col(roles.fold).eqNullSafe(F.lit(v)), i) for i, v in enumerate(values)])
+            return df.withColumn("_cv_fold", number), len(values)
+    return assign_folds(df, 3, [roles.id], None, "_cv_fold"), 3
+
+
 def fit_model(train: DataFrame, roles: ColumnRoles, problem: str, code: str, modules: Sequence[str] = ("freq", "Date"),
               profile: str | None = None, encoder: Encoder | None = None, encoded: DataFrame | None = None,
               name: str | None = None, cap: int | None = None) -> FittedModel:
@@ -249,13 +259,12 @@ def fit_model(train: DataFrame, roles: ColumnRoles, problem: str, code: str, mod
     if profile is None or GRID_SIZE[profile] == 1 or isinstance(est, (OneVsRest, MultilayerPerceptronClassifier)):
         fitted, params = pipe.fit(encoded), {}
     else:
-        folded = assign_folds(encoded, 3, [roles.id], roles.fold, "_cv_fold")
+        folded, folds = _search_folds(encoded, roles)
         judge = (RegressionEvaluator(labelCol="_y") if problem == "regression" else
                  BinaryClassificationEvaluator(labelCol="_y") if len(classes) == 2 else
                  MulticlassClassificationEvaluator(labelCol="_y", metricName="logLoss"))
-        folds = None if roles.fold else "_cv_fold"
         search = CrossValidator(estimator=pipe, estimatorParamMaps=param_grid(est, code, profile), evaluator=judge,
-                                numFolds=3, parallelism=4, foldCol=folds or "", seed=SEED)
+                                numFolds=folds, parallelism=4, foldCol="_cv_fold", seed=SEED)
         found = search.fit(folded)
         fitted = found.bestModel
         best = min(range(len(found.avgMetrics)), key=lambda i: found.avgMetrics[i] * (-1 if judge.isLargerBetter() else 1))

@@ -176,3 +176,12 @@ def test_image_experiment(spark, tmp_path):
     board, _ = M.fit_images(labels, image_folder(spark, str(tmp_path)), ColumnRoles(target="t", id="id", filename="file"), "regression",
                             M.TrainingConfig(advanced=(), normal=("LR",), features=()))
     assert board.first()["score"] < np.std(range(24))
+
+
+def test_user_folds_with_gaps(reg):
+    df = reg.withColumn("f", F.when(F.col("id") % 4 > 0, F.col("id") % 4))
+    roles = ColumnRoles(target="t", id="id", fold="f")
+    rows, folds = M._search_folds(df, roles)
+    assert folds == 4 and {(r.f, r._cv_fold) for r in rows.collect()} == {(None, 0), (1, 1), (2, 2), (3, 3)}
+    assert M.fit_model(df, roles, "regression", "LR", profile="normal").params
+    assert M.cross_validation(df, roles, "regression", "LR").count() == 400
