@@ -21,7 +21,6 @@ from __future__ import annotations
 import json
 import re
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +47,22 @@ def byte_letters() -> dict[str, int]:
     return {**{chr(b): b for b in own}, **{chr(256 + i): b for i, b in enumerate(rest)}}
 
 
+class Fragments(dict):
+    """Ids of fragments as packed int32: short ones are encoded when first asked for and kept, longer ones are encoded each time."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.tokenizer = tokenizer
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = np.array(self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids, np.int32).tobytes()
+        if len(piece) <= SHORT:
+            if len(self) >= CACHE:
+                self.clear()
+            self[piece] = ids
+        return ids
+
+
 class Codec:
     """A byte-level BPE tokenizer from its JSON text: certain cuts, ids of fragments, bytes of ids."""
 
@@ -78,23 +93,13 @@ class Codec:
         self.cut = self.cut.ravel()
         names = sorted((t["content"] for t in added), key=len, reverse=True)
         self.added = re.compile(b"|".join(re.escape(x.encode()) for x in names)) if names else None
-        self.cache: dict[bytes, list[int]] = {}
+        self.fragments = Fragments(self.tokenizer)
 
     def cuts(self, data: np.ndarray) -> np.ndarray:
         """Positions i between bytes i - 1 and i of data that no token spans."""
         pair = data[:-1].astype(np.uint16) << np.uint16(8) | data[1:]
         return np.flatnonzero(self.cut[pair]) + 1
 
-    def fragment(self, piece: bytes) -> list[int]:
-        ids = self.cache.get(piece)
-        if ids is None:
-            ids = self.tokenizer.encode(piece.decode(), add_special_tokens=False).ids
-            if len(piece) <= SHORT:
-                if len(self.cache) >= CACHE:
-                    self.cache.clear()
-                self.cache[piece] = ids
-        return ids
-
     def bounds(self, text: bytes, data: np.ndarray) -> np.ndarray:
         """Bounds of the fragments of a whole text."""
         inner = self.cuts(data)
@@ -108,9 +113,8 @@ class Codec:
         if not text:
             return np.empty(0, np.int32)
         at = self.bounds(text, np.frombuffer(text, np.uint8)).tolist()
-        known, fragment = self.cache.get, self.fragment
-        parts = [known(text[a:b]) or fragment(text[a:b]) for a, b in zip(at, at[1:])]
-        return np.fromiter(chain.from_iterable(parts), np.int32, sum(map(len, parts)))
+        pieces = [text[a:b] for a, b in zip(at, at[1:])]
+        return np.frombuffer(b"".join(map(self.fragments.__getitem__, pieces)), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join([self.bytes.get(i, b"") for i in ids]).decode("utf-8", "replace")
