@@ -3,7 +3,7 @@
 from importlib import import_module
 
 MODULES = ["op1_language", "op2_quality", "op3_mixing", "op4_sharding", "op5_chat", "op6_neardup", "op7_decontaminate", "op8_tokens", "op9_substrings", "op10_pii",
-           "op12_spelling", "op13_bpe"]
+           "op11_negatives", "op12_spelling", "op13_bpe"]
 
 
 def load_all():
