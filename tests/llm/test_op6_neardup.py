@@ -76,3 +76,11 @@ def test_large_group_of_copies(spark, size):
     words = [f"t{i}" for i in range(200)]
     rows = [(i, " ".join(words[:i] + [f"v{i}"] + words[i + 1:])) for i in range(size)]
     assert {r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0}
+
+
+def test_chain_of_versions(spark):
+    """Successive versions of a page, each like the next only, ids descending, are one component."""
+    words = [f"w{i}" for i in range(600)]
+    rows = [(1000 - v, " ".join(words[2 * v:2 * v + 60])) for v in range(150)]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.component_id for r in got} == {1000 - 149}
