@@ -8,13 +8,14 @@ a = <R r, s> and the length of the residual r - a R's, which is the row of the n
                                                                                                      is orthogonal to R's)
 
 <R q, s> is estimated by popcounts of the code with the PLANES bit planes of the rotated query; what rounding the query
-leaves out has a known length and widens the interval. The interval is thus certain, and every level narrows it for the
-pairs that the one before let through. Pairs whose interval leaves the wanted scores are dropped, all others scored in integers.
+leaves out has a known length and widens the interval. The interval is thus certain, and every level narrows it. Pairs whose
+interval leaves the wanted scores are dropped, all others are scored in integers.
 
-First every anchor's positives are found: a pair goes on while its upper end reaches the k-th lower end of its anchor in the
-block. Then the negatives: a pair goes on while its interval meets a positive's window and reaches the best lower ends that lie
-within the window for certain. Rows and anchors are packed into blocks by hash and meet in a grid of cells, one row a cell, so
-that neither a label nor a number of anchors makes a task larger; each cell returns at most k rows for each anchor and positive.
+First every anchor's positives are found: a few rows of the highest estimates are scored, and a pair survives if its upper end
+reaches the k-th best of them. Then the negatives: a pair survives if its interval meets the positives' windows and reaches
+the k-th best score that was found within one. Rows and anchors are packed into blocks by hash and meet in a grid of cells,
+one row a cell, so that neither a label nor a number of anchors makes a task larger; each cell returns at most k rows for
+each anchor and positive.
 
 Cases: rows with a null id, label or vector, or with a null, NaN or infinite component take no part. Equal rows count once;
 different rows of one id are different rows. Shorter vectors are filled up with zeros. Scores that do not fit into 63 bits are
@@ -32,8 +33,10 @@ from pyspark.sql.window import Window
 
 from lumenfold.llm.common import stored, table
 
-LEVELS, PLANES = 3, 6
-ROWS, ANCHORS = 8192, 1024
+LEVELS, PLANES = 4, 6
+ROWS, ANCHORS = 4096, 512
+#: Pairs looked at together, and rows scored at once for each anchor to find out which scores matter.
+TILE, TRIED = 1 << 18, 24
 POSITIVES, NEGATIVES = 5, 3
 LOW, HIGH = 50, 95
 #: Relative slack for float rounding in interval ends, far above what sums of D products in double precision lose.
@@ -74,13 +77,13 @@ def packed(signs: np.ndarray) -> np.ndarray:
 
 
 class Codes:
-    """Codes, alignments and residual lengths of the rows of a block, level by level."""
+    """Codes and alignments of the rows of a block, level by level, and the length of the last residual."""
 
     def __init__(self, vectors: np.ndarray, turns: np.ndarray):
         full = turns.shape[1]
         rest = padded(vectors, full)
         self.length = np.sqrt((rest * rest).sum(1))
-        self.bits, self.align, self.residual = [], [], []
+        self.bits, self.ones, self.align = [], [], []
         for turn in turns:
             turned = rest @ turn.T
             up = turned >= 0
@@ -88,9 +91,27 @@ class Codes:
             align = (turned * sign).sum(1)
             rest = rest - align[:, None] * (sign @ turn)
             self.bits.append(packed(up))
+            self.ones.append(np.bitwise_count(self.bits[-1]).sum(1, dtype=np.int32))
             self.align.append(align)
-            # the stored length covers what rounding may have added to the residual
-            self.residual.append(np.sqrt((rest * rest).sum(1)) + SLACK * self.length)
+        # the stored length covers what rounding may have added to the residual
+        self.residual = np.sqrt((rest * rest).sum(1)) + SLACK * self.length
+
+    def stored(self) -> bytes:
+        return b"".join(np.ascontiguousarray(x).tobytes() for x in (self.length, self.residual, *self.align, *self.bits))
+
+    @classmethod
+    def of(cls, cell: bytes, rows: int, levels: int) -> Codes:
+        out, numbers = object.__new__(cls), np.frombuffer(cell, np.float64, rows * (2 + levels)).reshape(-1, rows)
+        words = np.frombuffer(cell, np.uint64, offset=numbers.nbytes).reshape(levels, rows, -1)
+        out.length, out.residual, out.align, out.bits = numbers[0], numbers[1], list(numbers[2:]), list(words)
+        out.ones = [np.bitwise_count(b).sum(1, dtype=np.int32) for b in words]
+        return out
+
+    def take(self, at) -> Codes:
+        out = object.__new__(Codes)
+        out.length, out.residual = self.length[at], self.residual[at]
+        out.bits, out.ones, out.align = ([x[at] for x in level] for level in (self.bits, self.ones, self.align))
+        return out
 
 
 class Queries:
@@ -113,46 +134,34 @@ class Queries:
             self.total.append(level.astype(np.int64).sum(1))
             self.lost.append(np.sqrt(((turned - back) ** 2).sum(1)) + SLACK * np.sqrt(self.square))
 
-    def estimate(self, level: int, q, bits: np.ndarray) -> np.ndarray:
-        """<R q, s>, but for what rounding q leaves out, from popcounts: queries q against codes, which broadcast against them."""
-        planes = [p[q] for p in self.planes[level]]
-        both = np.zeros(np.broadcast_shapes(planes[0].shape, bits.shape)[:-1], np.int32)
-        for w in range(bits.shape[-1]):
-            for b, plane in enumerate(planes):
-                both += np.bitwise_count(plane[..., w] & bits[..., w]).astype(np.int32) << b
-        ones = np.bitwise_count(bits).sum(-1, dtype=np.int32)
-        return (self.base[level][q] * (2 * ones - self.full) + self.step[level][q] * (2.0 * both - self.total[level][q])) / np.sqrt(self.full)
-
-
-def interval(queries: Queries, codes: Codes, level: int, q, r, known=0.0):
-    """(part of the score that the codes up to this level give, half width) for queries q and rows r that broadcast against each other."""
-    along = queries.estimate(level, q, codes.bits[level][r])
-    lost, align = queries.lost[level][q], codes.align[level][r]
-    across = np.sqrt(np.maximum(queries.square[q] - np.maximum(np.abs(along) - lost, 0) ** 2, 0))
-    mid = known + align * along
-    # codes.length covers float rounding of every product of a row of this length with the query
-    return mid, align * lost + codes.residual[level][r] * across + SLACK * np.sqrt(queries.square[q]) * codes.length[r]
-
-
-def narrowed(queries: Queries, codes: Codes, q: np.ndarray, r: np.ndarray, first, keep):
-    """(queries, rows) of the pairs that every level lets through. first: (known part, missing width) of level 0, from the dense pass;
-    the width that rounding lost at earlier levels is carried on."""
-    known, lost = first
-    for level in range(1, len(codes.bits)):
-        if not len(q):
-            break
-        along = queries.estimate(level, q, codes.bits[level][r])
-        own = queries.lost[level][q]
-        across = np.sqrt(np.maximum(queries.square[q] - np.maximum(np.abs(along) - own, 0) ** 2, 0))
-        known = known + codes.align[level][r] * along
-        lost = lost + codes.align[level][r] * own
-        half = lost + codes.residual[level][r] * across + SLACK * np.sqrt(queries.square[q]) * codes.length[r]
-        on = keep(q, known - half, known + half)
-        q, r, known, lost = q[on], r[on], known[on], lost[on]
-    return q, r
-
-
-def exact(anchors: Block, rows: Block, q: np.ndarray, r: np.ndarray, piece: int = 1 << 17) -> np.ndarray:
+    def estimate(self, level: int, at: np.ndarray, bits: np.ndarray, ones: np.ndarray) -> np.ndarray:
+        """<R q, s> of the queries at with all codes, but for what rounding the queries leaves out, from popcounts."""
+        both = np.zeros((len(at), len(bits)), np.int32)
+        for b, plane in enumerate(self.planes[level]):
+            own = plane[at]
+            for w in range(bits.shape[1]):
+                both += np.left_shift(np.bitwise_count(own[:, w, None] & bits[:, w]), b, dtype=np.int32)
+        scale = 1 / np.sqrt(self.full)
+        out = both * (2 * scale * self.step[level][at])[:, None]
+        out -= (scale * (self.base[level] * self.full + self.step[level] * self.total[level])[at])[:, None]
+        out += (2 * scale * self.base[level][at])[:, None] * ones
+        return out
+
+
+def intervals(queries: Queries, codes: Codes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(middle, half width) of the scores of the queries at with all rows of codes."""
+    mid = np.zeros((len(at), len(codes.length)))
+    half = (SLACK * np.sqrt(queries.square[at]))[:, None] * codes.length
+    along = mid
+    for level in range(len(codes.bits)):
+        along = queries.estimate(level, at, codes.bits[level], codes.ones[level])
+        mid += codes.align[level] * along
+        half += queries.lost[level][at][:, None] * codes.align[level]
+    least = np.maximum(np.abs(along) - queries.lost[-1][at][:, None], 0)
+    return mid, half + np.sqrt(np.maximum(queries.square[at][:, None] - least * least, 0)) * codes.residual
+
+
+def exact(anchors: Block, rows: Block, q: np.ndarray, r: np.ndarray, piece: int = 1 << 14) -> np.ndarray:
     """Integer inner products of pairs."""
     out = np.empty(len(q), np.int64)
     for i in range(0, len(q), piece):
@@ -169,65 +178,72 @@ def best(group: np.ndarray, score: np.ndarray, ids: np.ndarray, variants: np.nda
     return order[place < k]
 
 
-def positives_of(anchors: Block, rows: Block, turns: np.ndarray, k: int):
+def kth(scores: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest of each row; minus infinity where there are fewer."""
+    if scores.shape[1] < k:
+        return np.full(len(scores), -np.inf)
+    return np.partition(scores, scores.shape[1] - k, axis=1)[:, -k]
+
+
+def tiles(at: np.ndarray, width: int) -> list[np.ndarray]:
+    return np.array_split(at, max(1, -(-len(at) * width // TILE))) if len(at) and width else []
+
+
+def tried(anchors: Block, rows: Block, at: np.ndarray, near: np.ndarray, guess: np.ndarray) -> np.ndarray:
+    """Integer scores of the TRIED rows of the highest guess for each anchor; minus infinity for a guess of minus infinity."""
+    n = min(TRIED, guess.shape[1])
+    top = np.argpartition(guess, guess.shape[1] - n, axis=1)[:, -n:]
+    score = exact(anchors, rows, np.repeat(at, n), near[top.ravel()]).reshape(top.shape)
+    return np.where(np.isfinite(np.take_along_axis(guess, top, 1)), score, -np.inf)
+
+
+def positives_of(anchors: Block, rows: Block, codes: Codes, turns: np.ndarray, k: int):
     """(anchor, row, score): the k best other rows of the same label of each anchor in this block."""
-    found = []
-    queries, codes = Queries(anchors.vectors, turns), Codes(rows.vectors, turns)
+    found, queries = [], Queries(anchors.vectors, turns)
     for label in np.unique(anchors.labels):
-        own, near = np.flatnonzero(anchors.labels == label), np.arange(*np.searchsorted(rows.labels, [label, label + 1]))
-        for at in np.array_split(own, max(1, -(-len(own) * len(near) // (1 << 20)))) if len(near) else ():
-            mid, half = interval(queries, codes, 0, at[:, None], near[None, :])
-            self_ = (anchors.ids[at][:, None] == rows.ids[near]) & (anchors.variants[at][:, None] == rows.variants[near])
-            low = np.where(self_, -np.inf, mid - half)
-            floor = np.full(len(anchors.ids), -np.inf)
-            if len(near) > k:
-                floor[at] = np.partition(low, len(near) - k, axis=1)[:, len(near) - k]
-            a, b = np.nonzero((mid + half >= floor[at][:, None]) & ~self_)
+        near = np.arange(*np.searchsorted(rows.labels, [label, label + 1]))
+        part = codes.take(near)
+        for at in tiles(np.flatnonzero(anchors.labels == label), len(near)):
+            mid, half = intervals(queries, part, at)
+            other = (anchors.ids[at][:, None] != rows.ids[near]) | (anchors.variants[at][:, None] != rows.variants[near])
+            # no row below the k-th best score of those that were tried is needed
+            floor = kth(tried(anchors, rows, at, near, np.where(other, mid, -np.inf)), k)
+            a, b = np.nonzero((mid + half >= floor[:, None]) & other)
             q, r = at[a], near[b]
-            align, lost = codes.align[0][r], queries.lost[0][q]
-            q, r = narrowed(queries, codes, q, r, (mid[a, b], align * lost), lambda i, lo, hi: hi >= floor[i])
             score = exact(anchors, rows, q, r)
             top = best(q, score, rows.ids[r], rows.variants[r], k)
             found.append((q[top], r[top], score[top]))
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 3
 
 
-def negatives_of(anchors: Block, positives: np.ndarray, rows: Block, turns: np.ndarray, k: int, low: int, high: int):
+def negatives_of(anchors: Block, positives: np.ndarray, rows: Block, codes: Codes, turns: np.ndarray, k: int, low: int, high: int):
     """(anchor, positive's place, row, score): the k best rows of other labels within each positive's window in this block.
 
-    positives: scores, anchors x places, ascending numbers of hundredths low and high bound the window; -1 stands for no positive
-    (a positive with a score below 0 has an empty window).
+    positives: scores, anchors x places; low and high: hundredths of a score that bound its window. -1 stands for no positive, as
+    the window of any score below 0 is empty.
     """
-    queries, codes = Queries(anchors.vectors, turns), Codes(rows.vectors, turns)
-    real = positives >= 0
-    least, most = -(-low * positives // 100), high * positives // 100  # integer bounds of the window
-    least, most = np.where(real, least, 1), np.where(real, most, 0)
-    able = np.flatnonzero((least <= most).any(1))
-    found = []
-    for at in np.array_split(able, max(1, -(-len(able) * len(rows.ids) // (1 << 20)))) if len(able) and len(rows.ids) else ():
-        mid, half = interval(queries, codes, 0, at[:, None], np.arange(len(rows.ids))[None, :])
-        lo, hi = mid - half, mid + half
+    queries = Queries(anchors.vectors, turns)
+    least = np.where(positives >= 0, -(-low * positives // 100), 1)
+    most = np.where(positives >= 0, high * positives // 100, 0)
+    every, places, found = np.arange(len(rows.ids)), range(positives.shape[1]), []
+    for at in tiles(np.flatnonzero((least <= most).any(1)), len(every)):
+        mid, half = intervals(queries, codes, at)
         other = anchors.labels[at][:, None] != rows.labels
-        # the k-th best lower end among rows that lie within the window for certain: no worse row is needed
-        floor = least.astype(float)
-        for p in range(positives.shape[1]):
-            sure = np.where(other & (lo >= least[at, p][:, None]) & (hi <= most[at, p][:, None]), lo, -np.inf)
-            if sure.shape[1] > k:
-                floor[at, p] = np.maximum(floor[at, p], np.partition(sure, sure.shape[1] - k, axis=1)[:, -k])
-
-        def keep(i, lo, hi):
-            on = np.zeros(np.broadcast_shapes(i.shape, lo.shape), bool)
-            for p in range(positives.shape[1]):
-                on |= (lo <= most[i, p]) & (hi >= floor[i, p])
-            return on
-
-        a, b = np.nonzero(keep(at[:, None], lo, hi) & other)
-        q, r = narrowed(queries, codes, at[a], b, (mid[a, b], codes.align[0][b] * queries.lost[0][at[a]]), keep)
+        top = most[at].max(1)[:, None]
+        scores = tried(anchors, rows, at, every, np.where(other & (mid <= top), mid, -np.inf))
+        floor = np.full((len(at), positives.shape[1]), np.inf)
+        for p in places:
+            low_p, high_p = least[at, p], most[at, p]
+            inside = np.where((scores >= low_p[:, None]) & (scores <= high_p[:, None]), scores, -np.inf)
+            # no row below a window, or below the k-th best score that was tried within it, is needed
+            floor[:, p] = np.where(low_p <= high_p, np.maximum(low_p, kth(inside, k)), np.inf)
+        a, b = np.nonzero((mid + half >= floor.min(1)[:, None]) & (mid - half <= top) & other)
+        q, r = at[a], b
         score = exact(anchors, rows, q, r)
-        for p in range(positives.shape[1]):
-            fits = np.flatnonzero((score >= least[q, p]) & (score <= most[q, p]))
-            top = fits[best(q[fits], score[fits], rows.ids[r[fits]], rows.variants[r[fits]], k)]
-            found.append((q[top], np.full(len(top), p), r[top], score[top]))
+        for p in places:
+            fits = np.flatnonzero((score >= floor[a, p]) & (score <= most[q, p]))
+            first = fits[best(q[fits], score[fits], rows.ids[r[fits]], rows.variants[r[fits]], k)]
+            found.append((q[first], np.full(len(first), p), r[first], score[first]))
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, np.int64),) * 4
 
 
@@ -240,11 +256,11 @@ def vectors_of(df: DataFrame, id_col: str, label_col: str, vector_col: str) -> D
     return rows.dropDuplicates().withColumn("variant", F.xxhash64("label", "vector"))
 
 
-PACKED = "block int, ids binary, labels binary, variants binary, vectors binary"
+PACKED = "block int, ids binary, labels binary, variants binary, vectors binary, codes binary"
 
 
-def packer(dim: int):
-    """One row for the rows of a block, which the group's hash bounds."""
+def packer(dim: int, turns):
+    """One row for the rows of a block, which the group's hash bounds, with their codes if turns are given."""
     def pack(group: pa.Table) -> pa.Table:
         flat, size = group.column("vector").combine_chunks(), group.column("vector").combine_chunks().value_lengths().to_numpy()
         values = flat.flatten().to_numpy()
@@ -254,22 +270,25 @@ def packer(dim: int):
             raise ValueError("components are too large for integer scores of 63 bits")
         order = np.lexsort((group.column("id").to_numpy(), group.column("label").to_numpy()))
         cols = [group.column(k).to_numpy()[order] for k in ("id", "label", "variant")] + [out[order]]
-        return pa.table([pa.array([group.column("block")[0].as_py()], pa.int32()), *[pa.array([c.astype(np.int64).tobytes()], pa.binary()) for c in cols]],
-                        names=["block", "ids", "labels", "variants", "vectors"])
+        codes = b"" if turns is None else Codes(cols[-1], turns.value).stored()
+        return pa.table([pa.array([group.column("block")[0].as_py()], pa.int32()), *[pa.array([c.astype(np.int64).tobytes()], pa.binary()) for c in cols],
+                         pa.array([codes], pa.binary())], names=["block", "ids", "labels", "variants", "vectors", "codes"])
     return pack
 
 
-def blocks_of(rows: DataFrame, dim: int, size: int, label: str) -> tuple[DataFrame, int]:
+def blocks_of(rows: DataFrame, dim: int, size: int, label: str, turns=None) -> tuple[DataFrame, int]:
     """rows packed into blocks of about size rows, and the number of blocks."""
     number = max(1, -(-rows.count() // size))
     own = rows.withColumn("block", F.pmod(F.xxhash64("id", "variant"), F.lit(number)).cast("int"))
-    return stored(own.groupBy("block").applyInArrow(packer(dim), PACKED), label), number
+    return stored(own.groupBy("block").applyInArrow(packer(dim, turns), PACKED), label), number
 
 
 def grid(items: DataFrame, n_items: int, anchors: DataFrame, n_anchors: int) -> DataFrame:
     """One row for each pair of an item block and an anchor block: (i, j, item, anchor), dealt out evenly."""
     def side(df, name, own, other, n):
-        return df.select(F.col("block").alias(own), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(other), F.struct(*[c for c in df.columns if c != "block"]).alias(name))
+        rows = df.select(F.col("block").alias(own), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(other), F.struct(*[c for c in df.columns if c != "block"]).alias(name))
+        # few rows, but much work in each: as many partitions as cells, up to a bound
+        return rows.repartition(min(n_items * n_anchors, 4000), "i", "j")
     return side(items, "item", "i", "j", n_anchors).join(side(anchors, "anchor", "j", "i", n_items), ["i", "j"])
 
 
@@ -283,14 +302,15 @@ def hard_negatives(df: DataFrame, queries, id_col: str = "vec_id", label_col: st
     dim = rows.agg(F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("n")).first().n
     turns = rotations(dim)
     shared = df.sparkSession.sparkContext.broadcast(turns)
-    items, n_items = blocks_of(rows, dim, rows_a_block, "blocks")
+    items, n_items = blocks_of(rows, dim, rows_a_block, "blocks", shared)
     anchors, n_anchors = blocks_of(rows.where(queries), dim, anchors_a_block, "anchors")
 
     def first(batches):
         for batch in batches:
             for cell in batch.to_pylist():
                 item, anchor = Block.of(cell["item"], dim), Block.of(cell["anchor"], dim)
-                q, r, score = positives_of(anchor, item, shared.value, positives)
+                codes = Codes.of(cell["item"]["codes"], len(item.ids), LEVELS)
+                q, r, score = positives_of(anchor, item, codes, shared.value, positives)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(q), cell["j"], np.int32)), *map(pa.array, (
                     anchor.ids[q], anchor.variants[q], item.ids[r], item.variants[r], score))], ["block", "anchor", "a_variant", "positive", "variant", "score"])
 
@@ -316,7 +336,8 @@ def hard_negatives(df: DataFrame, queries, id_col: str = "vec_id", label_col: st
                 at = np.array([where[key] for key in zip(p_anchor.tolist(), p_variant.tolist())], np.int64)
                 score, ids = np.full((len(anchor.ids), positives), -1), np.zeros((len(anchor.ids), positives), np.int64)
                 score[at, p_place], ids[at, p_place] = p_score, p_id
-                q, p, r, found = negatives_of(anchor, score, item, shared.value, negatives, low, high)
+                codes = Codes.of(cell["item"]["codes"], len(item.ids), LEVELS)
+                q, p, r, found = negatives_of(anchor, score, item, codes, shared.value, negatives, low, high)
                 yield pa.RecordBatch.from_arrays([*map(pa.array, (anchor.ids[q], anchor.variants[q], p.astype(np.int32), ids[q, p], item.ids[r], item.variants[r],
                                                                   score[q, p], found))],
                                                  ["anchor_id", "a_variant", "place", "positive_id", "negative_id", "variant", "positive_score", "negative_score"])
