@@ -16,6 +16,7 @@ extra columns are not read; an empty table gives no rows.
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -27,18 +28,34 @@ from lumenfold.llm.common import table
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The published splitting pattern of this vocabulary (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Runs of white space (as the pattern's \\s counts it) from this length on are encoded by themselves.
+LONG_BLANK = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{1000,}")
 RULES = ("start", "end", "majority", "split")
 
 
 @lru_cache(1)
 def encoding(path: str):
-    """(encoder, byte length of every token)."""
+    """(encoder, the same without splitting, byte length of every token)."""
     import tiktoken
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     lengths = np.zeros(max(ranks.values()) + 1, np.int64)
     lengths[list(ranks.values())] = [len(t) for t in ranks]
-    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), lengths
+    split, whole = (tiktoken.Encoding("own", pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in (PATTERN, "(?s:.+)"))
+    return split, whole, lengths
+
+
+def token_ids(text: str, path: str) -> np.ndarray:
+    """Ids of a whole text. Where white space goes on for long, the pattern takes all of it but the last character (all of it at
+    the end of the text) as one piece; such a piece is encoded as it stands, since the pattern's look-ahead would trace back over all of it."""
+    split, whole, _ = encoding(path)
+    parts, at = [], 0
+    for m in LONG_BLANK.finditer(text):
+        end = m.end() - (m.end() < len(text))
+        parts += split.encode_to_numpy(text[at:m.start()], disallowed_special=()), whole.encode_to_numpy(text[m.start():end], disallowed_special=())
+        at = end
+    parts.append(split.encode_to_numpy(text[at:], disallowed_special=()))
+    return np.concatenate(parts).astype(np.int64)
 
 
 def lines(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -80,13 +97,13 @@ def shares(ends: np.ndarray, first: np.ndarray, last: np.ndarray, rule: str) ->
 
 def counter(path: str, rule: str):
     def count(batches):
-        encoder, lengths = encoding(path)
+        lengths = encoding(path)[2]
         for batch in batches:
             rows, sections, begins, stops, tokens, crossings = [], [], [], [], [], []
             for r, (t, spans) in enumerate(zip(batch.column("text"), batch.column("sections"))):
                 text = t.as_py() or ""
                 data = np.frombuffer(text.encode(), np.uint8)
-                ids = encoder.encode_to_numpy(text, disallowed_special=()) if text else np.empty(0, np.int64)
+                ids = token_ids(text, path)
                 ends = np.cumsum(lengths[ids])
                 at = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # first byte of each character, and the end
                 # a token that ends inside a character counts as ending behind it, the next one as starting there
