@@ -28,7 +28,7 @@ RUN = "([A-Za-z\\u00C0-\\u00FF]+)"
 TOP = "en"
 #: Letters with a level of their own below those of TOP, by their share in European prose; all others share REST levels.
 ALONE, REST = "tiraosldcuh", 4
-CHUNK = 50_000
+CHUNK = 20_000
 LEAST_LENGTH, LEAST_N, FACTOR = 6, 5, 5
 CELL = "diff int, length int, c0 int, c1 int"
 
@@ -178,7 +178,9 @@ def near_words(vocab: DataFrame) -> DataFrame:
                                            F.lit(False).alias("is_query"), "word", "n", F.lit(0).alias("surplus"), F.lit(0).alias("deficit"))
     searches = searches.join(sizes, cell).select(*cell, F.explode(F.sequence(F.lit(0), F.col("item_blocks") - 1)).alias("i"), F.pmod(F.xxhash64("word"), "query_blocks").alias("j"),
                                                  F.lit(True).alias("is_query"), "word", "n", "surplus", "deficit")
-    return items.unionByName(searches).groupBy(*cell, "i", "j").applyInArrow(_search, "word string, near string, near_n long")
+    # dealt by blocks and not by cells, so that the blocks of a crowded subtree spread over the tasks
+    blocks = items.unionByName(searches).repartition(*cell, "i", "j")
+    return blocks.groupBy(*cell, "i", "j").applyInArrow(_search, "word string, near string, near_n long")
 
 
 def roots(forms: DataFrame) -> DataFrame:
