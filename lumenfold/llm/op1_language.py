@@ -4,11 +4,11 @@ Text is lower-cased, every run of non-letters becomes one space, and the n-grams
 text are hashed to FEATURES counters. A feature weighs (1 + log count) * idf, idf from the document frequencies over all
 labelled training rows, and a text's vector has length 1. Weights are fitted by follow-the-regularised-leader with
 elastic-net penalties (per-coordinate steps; the first penalty leaves unused weights at zero) on a bounded sample: about
-TRAIN_ROWS distinct texts in equal parts per language, at least LEAST_PER_CLASS of each. A quarter of the sample is kept out
+TRAIN_ROWS distinct texts in equal parts per language, at least LEAST_PER_CLASS of each (all, if a language has fewer). A quarter of the sample is kept out
 of the fit and sets one temperature that makes the probabilities honest.
 
 Cases: `und` with score 0 for null text and text without a letter, and for every text if no labelled row exists. Null labels
-are not learned from; rows may repeat; extra columns are not read.
+are not learned from; repeated texts of a language count once in the fit; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from lumenfold.llm.common import table
 from lumenfold.llm.wordhash import mix
@@ -127,7 +128,8 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
 def train(rows: DataFrame) -> dict:
     """The model from rows (text, lang): classes, idf, weights and temperature."""
     rows = rows.where("lang is not null and text is not null")
-    per = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect()}
+    distinct = rows.select("lang", F.xxhash64("lang", "text").alias("h")).distinct()
+    per = {r.lang: r["count"] for r in distinct.groupBy("lang").count().collect()}
     if not per:
         return {"classes": []}
     want = max(LEAST_PER_CLASS, TRAIN_ROWS // len(per))
@@ -135,9 +137,11 @@ def train(rows: DataFrame) -> dict:
     for r in rows.select("text").mapInArrow(document_frequencies, "feature int, df long").groupBy("feature").agg(F.sum("df").alias("df")).collect():
         df[r.feature + 1] = r.df
     idf = np.log((1 + df[0]) / (1 + df[1:])) + 1
-    share = F.create_map(*[x for k, c in per.items() for x in (F.lit(k), F.lit(min(1.0, want / c)))])
-    hashed = rows.withColumn("h", F.xxhash64("lang", "text")).where(
-        F.pmod("h", F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000).dropDuplicates(["h"])
+    # copies count once: the want lowest hashes of each class, found among about twice as many
+    share = F.create_map(*[x for k, c in per.items() for x in (F.lit(k), F.lit(min(1.0, 2 * want / c)))])
+    part = F.pmod("h", F.lit(1_000_000))
+    hashed = rows.withColumn("h", F.xxhash64("lang", "text")).where(part < share[F.col("lang")] * 1_000_000).dropDuplicates(["h"])
+    hashed = hashed.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(part, "h"))).where(F.col("place") <= want)
     classes = sorted(per)
     fit, held = [], []
     for r in sorted(hashed.select("lang", "h", "text").mapInArrow(sample_counts, "lang string, h long, features array<int>, counts array<int>")

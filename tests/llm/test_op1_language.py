@@ -1,6 +1,9 @@
+import math
 import zlib
 
-from lumenfold.llm.op1_language import FEATURES, counts, identify, op1
+import numpy as np
+
+from lumenfold.llm.op1_language import ALPHA, BETA, FEATURES, L1, L2, counts, ftrl, identify, op1, softmax, temperature
 
 
 def test_held_out_accuracy(spark, small):
@@ -29,3 +32,49 @@ def test_edge_rows(spark):
     none = identify(docs, train.where("false"))
     assert {r.lang_pred for r in none.collect()} == {"und"}
     assert identify(docs.where("false"), train).count() == 0
+
+
+def test_a_language_of_copies_is_learned(spark):
+    """One text 20,000 times is one text to learn from, not a class that a sample may miss."""
+    words = "the of and to in is that for it as was with be by on not he his but at are this have from or had an they which one".split()
+    rng = np.random.default_rng(8)
+    english = spark.createDataFrame([(" ".join(rng.choice(words, 12)), "en") for _ in range(3000)], "text string, lang string")
+    german = spark.range(20000).selectExpr("'der schnelle braune Fuchs springt über den faulen Hund und schläft' as text", "'de' as lang")
+    docs = spark.createDataFrame([(1, "der schnelle braune Fuchs springt über den faulen Hund und schläft"), (2, "it was the one that they had")], "doc_id long, text string")
+    got = {r.doc_id: r.lang_pred for r in identify(docs, english.union(german)).collect()}
+    assert got == {1: "de", 2: "en"}
+
+
+def test_temperature_is_the_best_of_a_grid():
+    rng = np.random.default_rng(2)
+    y = rng.integers(0, 3, 400)
+    logits = rng.normal(0, 1, (400, 3)) + 2 * np.eye(3)[y]
+    loss = {t: -np.log(softmax(3 * logits / t)[np.arange(400), y]).mean() for t in np.geomspace(0.1, 15, 400)}
+    assert abs(np.log(temperature(3 * logits, y) / min(loss, key=loss.get))) < 0.03
+
+
+def test_ftrl_against_a_plain_loop():
+    """Weights of the vectorised fit are those of a loop over single coordinates."""
+    rng = np.random.default_rng(3)
+    rows = [(np.sort(rng.choice(50, 6, replace=False)), rng.random(6), int(rng.integers(0, 3))) for _ in range(40)]
+    z, n = {}, {}
+
+    def weight(f, k):
+        a, b = z.get((f, k), 0.0), n.get((f, k), 0.0)
+        return 0.0 if abs(a) <= L1 else -(a - math.copysign(L1, a)) / ((BETA + math.sqrt(b)) / ALPHA + L2)
+
+    order = np.random.Generator(np.random.PCG64(1))
+    for _ in range(2):
+        for i in order.permutation(len(rows)):
+            at, x, y = rows[i]
+            raw = [sum(weight(f, k) * v for f, v in zip(at, x)) for k in range(3)]
+            top = [math.exp(r - max(raw)) for r in raw]
+            for f, v in zip(at, x):
+                old = [weight(f, k) for k in range(3)]
+                for k in range(3):
+                    g = (top[k] / sum(top) - (k == y)) * v
+                    was = n.get((f, k), 0.0)
+                    z[f, k] = z.get((f, k), 0.0) + g - (math.sqrt(was + g * g) - math.sqrt(was)) / ALPHA * old[k]
+                    n[f, k] = was + g * g
+    got = ftrl(rows, 3, epochs=2)
+    assert all(abs(got[f, k] - weight(f, k)) < 1e-9 for f in range(50) for k in range(3)) and (got == 0).any()
