@@ -157,17 +157,25 @@ def filled_columns(columns: Sequence[str]) -> list[str]:
 
 
 def standard_vector(df: DataFrame, columns: Sequence[str]) -> PipelineModel:
-    """Fitted assembly and standardisation of numeric columns into the vector column _std; NULL and NaN count as the mean."""
+    """Fitted assembly and standardisation of numeric columns into the vector column _std; NULL and NaN count as the mean.
+
+    A column without any value has no mean and is left out of the vector.
+    """
+    known = df.agg(*[F.count(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    columns = [c for i, c in enumerate(columns) if known[i]]
+    if not columns:
+        raise ValueError("no numeric column has a value")
     filled = filled_columns(columns)
-    return Pipeline(stages=[Imputer(inputCols=list(columns), outputCols=filled, strategy="mean"),
+    return Pipeline(stages=[Imputer(inputCols=columns, outputCols=filled, strategy="mean"),
                             VectorAssembler(inputCols=filled, outputCol="_raw", handleInvalid="keep"),
                             StandardScaler(inputCol="_raw", outputCol="_std", withMean=True, withStd=True)]).fit(df)
 
 
 def pca(df: DataFrame, columns: Sequence[str], k: int = 2, out: str = "pca") -> DataFrame:
-    """Standardise, then project on the k main axes."""
-    scaled = standard_vector(df, columns).transform(df)
-    model = PCA(inputCol="_std", outputCol="_axes", k=k).fit(scaled)
+    """Standardise, then project on the k main axes (on fewer, if fewer columns have values)."""
+    standard = standard_vector(df, columns)
+    scaled = standard.transform(df)
+    model = PCA(inputCol="_std", outputCol="_axes", k=min(k, len(standard.stages[1].getInputCols()))).fit(scaled)
     return model.transform(scaled).withColumn(out, vector_to_array("_axes")).drop("_raw", "_std", "_axes", *filled_columns(columns))
 
 

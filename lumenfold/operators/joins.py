@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lumenfold.functions.skew import lookup_join
@@ -16,17 +17,29 @@ def join_holdout(predictions: DataFrame, truth: DataFrame, key: str) -> DataFram
 
 
 def row_numbers(df: DataFrame, name: str = "row") -> DataFrame:
-    """Rows numbered densely in file order, so that two files with aligned rows can be joined.
+    """Rows numbered densely in file order (files by path), so that two tables with aligned rows can be joined.
 
-    The ids grow with the file splits; the start of each split comes from the row counts per split.
+    Where a row stands comes from the files themselves and not from the scan's partitions, which pack files by size: Parquet
+    gives each row its index within the file; of other formats, the rows of a block are counted on from the block's start.
+    Only the row counts of files or blocks go through a window. A frame that is no file scan has no positions and is refused.
     """
-    tagged = cut_lineage(df.withColumn("_id", F.monotonically_increasing_id())) \
-        .withColumn("_split", F.shiftright("_id", 33))
-    before = Window.partitionBy(F.lit(0)).orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    starts = tagged.groupBy("_split").count() \
-        .select("_split", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
-    return lookup_join(tagged, starts, ["_split"]) \
-        .withColumn(name, F.col("_start") + F.col("_id") - F.shiftleft("_split", 33)).drop("_id", "_split", "_start")
+    try:
+        located = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+        located.schema
+    except AnalysisException:
+        raise ValueError("rows have a position only in a frame that is read from files") from None
+    try:
+        rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+        rows.schema
+        where, sizes = ["_file"], rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    except AnalysisException:
+        rows = cut_lineage(located.withColumn("_id", F.monotonically_increasing_id()))
+        where, sizes = ["_file", "_block"], rows.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy(F.lit(0)).orderBy(*where).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    placed = lookup_join(rows, starts, where)
+    at = F.col("_at") if "_at" in rows.columns else F.col("_id") - F.col("_first")
+    return placed.withColumn(name, F.col("_start") + at).select(*df.columns, name)
 
 
 def join_logged(inputs: DataFrame, outputs: DataFrame, key: str | None = None) -> DataFrame:

@@ -202,7 +202,10 @@ def top_class(probs: dict[str, Column]) -> Column:
 
 def multiclass_metrics(df: DataFrame, y: str | Column, probs: dict[str, str | Column], groups: Sequence[str] = (),
                        weight: str | Column | None = None, names: Sequence[str] = MULTICLASS) -> DataFrame:
-    """probs maps each class label to its probability column; class order is the order for qkappa and ties."""
+    """probs maps each class label to its probability column; class order is the order for qkappa and ties.
+
+    A true class without a probability counts as an error in every metric but qkappa, which has no place for it and raises.
+    """
     names, groups = _check(names, MULTICLASS), list(groups)
     classes = list(probs)
     rows = df.select(*groups, _col(y).cast("string").alias("y"), _weights(weight).alias("w"),
@@ -216,7 +219,8 @@ def multiclass_metrics(df: DataFrame, y: str | Column, probs: dict[str, str | Co
     ahead = sum((F.when((pcols[c] > pt) | ((pcols[c] == pt) & (F.lit(c) < yc)), 1).otherwise(0) for c in classes),
                 F.lit(0))
     place = F.when(pt.isNotNull(), 1 + ahead)
-    i = F.coalesce(*[F.when(yc == c, index[c]) for c in classes]).cast("double")
+    unknown = F.raise_error(F.concat(F.lit("no probability is given for the true class "), yc)).cast("int")
+    i = F.coalesce(*[F.when(yc == c, index[c]) for c in classes], unknown).cast("double")
     j = F.coalesce(*[F.when(label == c, index[c]) for c in classes]).cast("double")
 
     f1s, present = [], []

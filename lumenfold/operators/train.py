@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -19,8 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from lumenfold.functions.skew import lookup_join
 from lumenfold.operators import features as E
 from lumenfold.operators.joins import apply_encoding
-from lumenfold.operators.metrics import (ASCENDING, DEFAULT_METRIC, binary_metrics, multiclass_metrics, regression_metrics,
-                                         top_class)
+from lumenfold.operators.metrics import (ASCENDING, DEFAULT_METRIC, binary_metrics, multiclass_metrics, regression_metrics)
 from lumenfold.operators.profile import numeric_columns, string_columns
 from lumenfold.operators.roles import ColumnRoles, assign_folds, split_holdout
 from lumenfold.session import cut_lineage
@@ -133,8 +133,9 @@ class Encoder:
             out = E.counter(out, self.numeric, self.strings)
             names += ["n_null", "n_zero", "n_negative", "n_positive", "n_empty", "n_filled"]
         for c in self.dates if "Date" in self.modules else []:
-            out = E.date_features(out, c)
-            names += [f"{c}_{p}" for p in ("year", "month", "weekday", "yearday")]
+            parts = [f"{c}_{p}" for p in ("year", "month", "weekday", "yearday")]
+            out = E.date_features(out, c).fillna(0, subset=parts).withColumn(f"{c}_missing", F.col(c).isNull().cast("double"))
+            names += [*parts, f"{c}_missing"]
         if "poly" in self.modules:
             out = E.polynomial(out, self.numeric)
             names += [n for n in out.columns if "_x_" in n and n not in df.columns]
@@ -274,19 +275,28 @@ def fit_model(train: DataFrame, roles: ColumnRoles, problem: str, code: str, mod
 
 @dataclass
 class NaiveBayesModel:
-    """Categorical naive Bayes over the string columns; the counts of the training table are the model."""
+    """Categorical naive Bayes over the string columns, fitted once."""
 
-    train: DataFrame
+    counts: BayesCounts
     problem: str
     roles: ColumnRoles
-    columns: Sequence[str]
-    classes: list[str]
+    fit_seconds: float = 0.0
     params: dict = field(default_factory=dict)
 
+    @property
+    def classes(self) -> list[str]:
+        return self.counts.classes
+
+    @classmethod
+    def fit(cls, train: DataFrame, problem: str, roles: ColumnRoles, columns: Sequence[str]) -> NaiveBayesModel:
+        start = time.time()
+        counts = fit_naive_bayes(train, roles.target, columns, roles.weight)
+        return cls(counts, problem, roles, time.time() - start)
+
     def transform(self, df: DataFrame) -> DataFrame:
-        scored = df.join(naive_bayes(self.train, df, self.roles.target, self.columns, self.roles.id), self.roles.id)
-        probs = {c: F.col(f"pred_{c}") for c in self.classes}
-        return scored.select(*df.columns, top_class(probs).alias("prediction"), *probs.values())
+        scored = df.join(score_naive_bayes(self.counts, df, self.roles.id), self.roles.id)
+        label = F.element_at(F.array(*[F.lit(c) for c in self.classes]), F.array_position("probabilities", F.array_max("probabilities")).cast("int"))
+        return scored.select(*df.columns, label.alias("prediction"), *[F.col("probabilities")[i].alias(f"pred_{c}") for i, c in enumerate(self.classes)])
 
 
 def problem_metric(scored: DataFrame, roles: ColumnRoles, problem: str, classes: Sequence[str], metric: str) -> float:
@@ -384,7 +394,8 @@ def fit_experiment(df: DataFrame, roles: ColumnRoles, problem: str, config: Trai
             continue  # classifiers only; naive Bayes needs a category
         name, start = f"{code}-{tier}", time.time()
         if code == "NBC":
-            model, fit_seconds = NaiveBayesModel(train, problem, roles, encoder.strings, classes), 0.0
+            model = NaiveBayesModel.fit(train, problem, roles, encoder.strings)
+            fit_seconds, start = model.fit_seconds, time.time()
             scored = model.transform(holdout)
         else:
             model = fit_model(train, roles, problem, code, modules, profile, encoder, encoded, name)
@@ -447,26 +458,52 @@ def linear_fit(df: DataFrame, x: str, y: str, weight: str | None = None) -> Data
                                            "slope double, intercept double")
 
 
-def naive_bayes(train: DataFrame, df: DataFrame, target: str, columns: Sequence[str], row_id: str) -> DataFrame:
-    """(id, pred_<class>): categorical naive Bayes with Laplace 1; one small lookup per column, no row blow-up."""
-    classes = sorted(str(r[0]) for r in train.select(target).distinct().collect())
-    t = F.col(target).cast("string")
-    sums = train.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.when(t == c, 1)).alias(f"n{i}") for i, c in enumerate(classes)]) \
-        .first()
-    scored = df.select(row_id, *columns)
-    logs = [F.lit(0.0) for _ in classes]
-    for j, col in enumerate(columns):
-        cells = cut_lineage(train.groupBy(col).agg(*[F.count(F.when(t == c, 1)).alias(f"k{i}") for i, c in enumerate(classes)]))
-        kinds = cells.count()
-        seen = cells.select(col, *[F.ln((F.col(f"k{i}") + 1) / (sums[f"n{i}"] + kinds)).alias(f"l{j}_{i}")
-                                   for i in range(len(classes))])
-        scored = lookup_join(scored, seen, [col])
-        logs = [a + F.coalesce(F.col(f"l{j}_{i}"), F.ln(F.lit(1.0) / (sums[f"n{i}"] + kinds))) for i, a in enumerate(logs)]
-    logs = [a + F.ln(F.lit(sums[f"n{i}"] / sums["n"])) for i, a in enumerate(logs)]
-    rows = scored.select(row_id, *[a.alias(f"s{i}") for i, a in enumerate(logs)])
-    top = F.greatest(*[F.col(f"s{i}") for i in range(len(classes))])
-    odds = [F.exp(F.col(f"s{i}") - top) for i in range(len(classes))]
-    return rows.select(row_id, *[(o / sum(odds[1:], odds[0])).alias(f"pred_{c}") for o, c in zip(odds, classes)])
+@dataclass
+class BayesCounts:
+    """The counts of a categorical naive Bayes: classes with their rows, and per column a table (value, seen) with the rows of
+    the value in each class it occurs in, and the number of values. Classes are never columns."""
+
+    classes: list[str]
+    rows: list[float]
+    columns: list[str]
+    tables: list[DataFrame]
+    kinds: list[int]
+
+
+def fit_naive_bayes(train: DataFrame, target: str, columns: Sequence[str], weight: str | None = None) -> BayesCounts:
+    """One long aggregate (column, value, class, rows); a weight column makes rows count by their weight."""
+    cells = F.array(*[F.struct(F.lit(j).alias("j"), F.col(c).cast("string").alias("value")) for j, c in enumerate(columns)])
+    one = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    long = cut_lineage(train.where(F.col(target).isNotNull()).select(F.col(target).cast("string").alias("class"), one.alias("w"), F.explode(cells).alias("e"))
+                       .groupBy("e.j", "e.value", "class").agg(F.sum("w").alias("n")))
+    total = {r["class"]: r["n"] for r in long.where("j = 0").groupBy("class").agg(F.sum("n").alias("n")).collect()}  # as many as output columns
+    tables = [cut_lineage(long.where(F.col("j") == j).groupBy("value").agg(F.map_from_entries(F.collect_list(F.struct("class", "n"))).alias("seen")))
+              for j in range(len(columns))]
+    classes = sorted(total)
+    return BayesCounts(classes, [total[c] for c in classes], list(columns), tables, [t.count() for t in tables])
+
+
+def score_naive_bayes(counts: BayesCounts, df: DataFrame, row_id: str) -> DataFrame:
+    """(id, probabilities in the order of the classes) with Laplace 1; one lookup per column, no row blow-up."""
+    classes, n = F.array(*[F.lit(c) for c in counts.classes]), sum(counts.rows)
+    keys = df.select(row_id, *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"_k{j}") for j, c in enumerate(counts.columns)],
+                     *[F.col(c).isNull().alias(f"_n{j}") for j, c in enumerate(counts.columns)])
+    logs = F.array(*[F.lit(math.log(r / n)) for r in counts.rows])
+    for j, (seen, kinds) in enumerate(zip(counts.tables, counts.kinds)):
+        look = seen.select(F.coalesce("value", F.lit("")).alias(f"_k{j}"), F.col("value").isNull().alias(f"_n{j}"), F.col("seen").alias(f"_s{j}"))
+        keys = lookup_join(keys, look, [f"_k{j}", f"_n{j}"])
+        unseen = F.array(*[F.lit(-math.log(r + kinds)) for r in counts.rows])
+        found = F.transform(classes, lambda c: F.ln(1 + F.coalesce(F.try_element_at(F.col(f"_s{j}"), c), F.lit(0.0))))
+        logs = F.zip_with(F.zip_with(logs, unseen, lambda a, b: a + b), found, lambda a, b: a + b)
+    top = keys.select(row_id, logs.alias("_l")).select(row_id, F.transform("_l", lambda x: F.exp(x - F.array_max("_l"))).alias("_o"))
+    total = F.aggregate("_o", F.lit(0.0), lambda a, x: a + x)
+    return top.select(row_id, F.transform("_o", lambda x: x / total).alias("probabilities"))
+
+
+def naive_bayes(train: DataFrame, df: DataFrame, target: str, columns: Sequence[str], row_id: str, weight: str | None = None) -> DataFrame:
+    """(id, pred_<class>): categorical naive Bayes."""
+    counts = fit_naive_bayes(train, target, columns, weight)
+    return score_naive_bayes(counts, df, row_id).select(row_id, *[F.col("probabilities")[i].alias(f"pred_{c}") for i, c in enumerate(counts.classes)])
 
 
 # --- models from outside ------------------------------------------------------------------------------------------

@@ -9,6 +9,7 @@ from lumenfold.operators.roles import ColumnRoles
 from lumenfold.plans.catalog import (BINARY_SQL, STATUS_SQL, TIED_SQL, binary_rows, register, rounded, sql_hash,
                                      status_rows, table, tied_rows)
 from lumenfold.plans.metric_queries import counts, grouped_scores
+from lumenfold.session import scratch_path
 
 # --- sources and roles --------------------------------------------------------------------------------------------
 
@@ -132,6 +133,21 @@ def join_logged_by_position(spark, sf_dir):
     return J.join_logged(events.select("event_id"), events.select("value"))
 
 
+@register("j02_join_logged_files", """SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS row, o_orderkey, o_totalprice, o_custkey FROM orders""")
+def join_logged_files(spark, sf_dir):
+    """Two logs of the same orders, cut into files of different and unequal sizes."""
+    orders = table(spark, sf_dir, "orders")
+    top = orders.agg(F.max("o_orderkey").cast("double")).first()[0] or 1.0
+    share = F.col("o_orderkey") / F.lit(top)
+    logs = []
+    for cuts, columns in (((0.05, 0.5, 0.6), ["o_orderkey", "o_totalprice"]), ((0.3, 0.31, 0.32, 0.9, 0.95), ["o_custkey"])):
+        path = scratch_path(spark, "log")
+        part = sum(((share > c).cast("int") for c in cuts), F.lit(0))
+        orders.withColumn("_part", part).repartitionByRange(len(cuts) + 1, "_part", "o_orderkey").sortWithinPartitions("o_orderkey").select(*columns).write.parquet(path)
+        logs.append(spark.read.schema(orders.select(*columns).schema).parquet(path))
+    return J.join_logged(*logs)
+
+
 @register("j04_compare_main_challenger", """SELECT coalesce(m.o_orderkey, c.o_orderkey) AS o_orderkey, m.p AS main,
     c.p AS challenger, round(c.p - m.p, 4) AS delta
     FROM (SELECT o_orderkey, o_totalprice AS p FROM orders WHERE o_orderstatus <> 'P') m

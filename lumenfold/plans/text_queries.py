@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from lumenfold.functions import text as TX
@@ -18,15 +20,13 @@ def contained_in(items: DataFrame, docs: DataFrame, item_id: str, item_text: str
     """(item, document) pairs where the document holds the whole item text.
 
     The first inner words of an item must stand as whole words in such a document, so equal word windows name the
-    candidates and the text test confirms them.
+    candidates and the text test confirms them. Items without an inner word are looked up by the windows of their length in characters.
     """
     words = items.select(item_id, item_text, F.split(item_text, r"\s+").alias("w"))
     length = F.least(F.lit(SEED_WORDS), F.size("w") - 2)
     seeds = words.select(item_id, length.alias("len"), F.when(
         length >= 1, F.xxhash64(F.array_join(F.slice("w", F.lit(2), length), " "))).alias("seed"))
-    lengths = sorted(r["len"] for r in seeds.select("len").distinct().collect())
-    if lengths and lengths[0] < 1:
-        raise ValueError("items need at least three words")
+    lengths = sorted(r["len"] for r in seeds.where("len >= 1").select("len").distinct().collect())
     w = F.col("w")
 
     def window_hash(n):
@@ -37,7 +37,17 @@ def contained_in(items: DataFrame, docs: DataFrame, item_id: str, item_text: str
         one = TX.explode_words(docs.select(doc_id, F.split(doc_text, r"\s+").alias("w")), F.array_distinct(
             F.transform(starts, window_hash(n))), doc_id, name="seed")
         windows = one if windows is None else windows.unionByName(one)
-    candidates = windows.join(seeds.select(item_id, "seed"), "seed").select(item_id, doc_id).distinct()
+    short = items.where(F.size(F.split(item_text, r"\s+")) < 3).where(F.char_length(item_text) > 0) \
+        .select(item_id, F.char_length(item_text).alias("n"), F.xxhash64(item_text).alias("seed"))
+    sizes = sorted(r["n"] for r in short.select("n").distinct().collect())
+    pairs = [] if windows is None else [windows.join(seeds.select(item_id, "seed"), "seed").select(item_id, doc_id)]
+    for n in sizes:
+        cuts = F.transform(F.sequence(F.lit(1), F.greatest(F.char_length("t") - n + 1, F.lit(1))), lambda i: F.xxhash64(F.substring("t", i, F.lit(n))))
+        one = TX.explode_words(docs.select(doc_id, F.col(doc_text).alias("t")), F.array_distinct(cuts), doc_id, name="seed")
+        pairs.append(one.join(short.where(F.col("n") == n).select(item_id, "seed"), "seed").select(item_id, doc_id))
+    if not pairs:
+        return items.limit(0).select(item_id, F.lit(None).cast(docs.schema[doc_id].dataType).alias(doc_id))
+    candidates = reduce(DataFrame.unionByName, pairs).distinct()
     return candidates.join(items.select(item_id, item_text), item_id).join(docs.select(doc_id, doc_text), doc_id) \
         .where(F.contains(doc_text, item_text)).select(item_id, doc_id)
 

@@ -9,7 +9,7 @@ from lumenfold.functions.hashing import hash_share
 from lumenfold.functions.ranking import exact_percentiles, prefix_sums, weighted_median
 from lumenfold.functions.skew import hot_key_join, lookup_join
 from lumenfold.operators import textsim as X
-from lumenfold.operators.joins import derivation_range_join, row_numbers
+from lumenfold.operators.joins import derivation_range_join, join_logged, row_numbers
 from lumenfold.session import cut_lineage
 
 
@@ -69,6 +69,41 @@ def test_row_numbers_follow_file_order(spark, tmp_path):
     assert [r["row"] for r in out] == list(range(1000))
 
 
+@pytest.mark.parametrize("kind", ["parquet", "csv"])
+def test_positions_of_unequal_files(spark, tmp_path, kind):
+    """Row i of one table meets row i of the other, however their files are cut and packed into partitions."""
+    cuts = {"left": [0, 40, 4000, 4100, 12000], "right": [0, 7000, 7001, 7900, 7950, 8000, 12000]}
+    for side, at in cuts.items():
+        for i, (a, b) in enumerate(zip(at, at[1:])):
+            folder = str(tmp_path / side)
+            part = spark.range(a, b, 1, 1).select(F.col("id").alias(side), F.lit("x" * (i % 3)).alias(f"pad_{side}"))
+            getattr(part.write.mode("append"), kind)(f"{folder}-{i}")
+    read = {side: getattr(spark.read.schema(f"{side} long, pad_{side} string"), kind)([str(tmp_path / f"{side}-{i}") for i in range(len(at) - 1)])
+            for side, at in cuts.items()}
+    out = join_logged(read["left"], read["right"])
+    assert out.columns == ["row", "left", "pad_left", "right", "pad_right"]
+    assert out.count() == 12000 and out.where("left <> right or left <> row").count() == 0
+
+
+def test_large_csv_is_numbered_over_its_blocks(spark, tmp_path):
+    spark.range(0, 30000, 1, 1).select("id", F.lit("y" * 40).alias("t")).write.csv(str(tmp_path / "c"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        df = spark.read.schema("id long, t string").csv(str(tmp_path / "c"))
+        out = row_numbers(df)
+        assert df.rdd.getNumPartitions() > 4 and out.where("row <> id").count() == 0 and out.count() == 30000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_positions_need_files(spark):
+    with pytest.raises(ValueError, match="read from files"):
+        row_numbers(spark.range(5))
+    with pytest.raises(ValueError, match="read from files"):
+        row_numbers(spark.range(5).groupBy("id").count())
+
+
 def test_range_join_keeps_window(spark):
     s = spark.createDataFrame([("a", t, float(t)) for t in (0, 1, 2, 5)], "g string, step int, v double")
     got = {(r["t"], r["offset"], r["v_past"]) for r in derivation_range_join(s, ["g"], "step", "v", -3, -1).collect()}

@@ -6,9 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lumenfold.operators import predict as D, train as M
-from lumenfold.operators.metrics import regression_metrics
+from lumenfold.operators import features as E, predict as D, train as M
+from lumenfold.operators.metrics import multiclass_metrics, regression_metrics
 from lumenfold.operators.roles import ColumnRoles
+from lumenfold.plans.text_queries import contained_in
 from lumenfold.sources.readers import image_folder
 
 
@@ -185,3 +186,52 @@ def test_user_folds_with_gaps(reg):
     assert folds == 4 and {(r.f, r._cv_fold) for r in rows.collect()} == {(None, 0), (1, 1), (2, 2), (3, 3)}
     assert M.fit_model(df, roles, "regression", "LR", profile="normal").params
     assert M.cross_validation(df, roles, "regression", "LR").count() == 400
+
+
+def test_naive_bayes_with_many_classes(spark):
+    """Classes are rows of the counts; probabilities are those of a plain count by hand."""
+    df = spark.range(4000).select("id", (F.col("id") % 400).cast("string").alias("y"), F.concat(F.lit("v"), F.col("id") % 13).alias("c"),
+                                  F.when(F.col("id") % 5 > 0, F.concat(F.lit("w"), F.col("id") % 3)).alias("d"))
+    out = {r["id"]: r for r in M.naive_bayes(df, df.where("id < 40").union(spark.createDataFrame([(-1, "0", "new", "w0")], df.schema)), "y", ["c", "d"], "id").collect()}
+    rows = [(i % 400, f"v{i % 13}", f"w{i % 3}" if i % 5 else None) for i in range(4000)]
+    for i, c, d in [(7, "v7", "w1"), (10, "v10", None), (-1, "new", "w0")]:
+        odds = []
+        for k in range(400):
+            own = [r for r in rows if r[0] == k]
+            odds.append(len(own) / 4000 * (1 + sum(r[1] == c for r in own)) / (len(own) + 13) * (1 + sum(r[2] == d for r in own)) / (len(own) + 4))
+        assert all(abs(out[i][f"pred_{k}"] - odds[k] / sum(odds)) < 1e-9 for k in range(400))
+
+
+def test_naive_bayes_weights(spark):
+    df = spark.createDataFrame([(1, "a", "x", 3.0), (2, "b", "x", 1.0), (3, "b", "z", 1.0)], "id long, y string, c string, w double")
+    twice = spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (3, "a", "x"), (4, "b", "x"), (5, "b", "z")], "id long, y string, c string")
+    got, want = M.naive_bayes(df, df.where("id = 2"), "y", ["c"], "id", "w").first(), M.naive_bayes(twice, twice.where("id = 4"), "y", ["c"], "id").first()
+    assert abs(got["pred_a"] - want["pred_a"]) < 1e-12
+
+
+def test_null_dates_and_empty_columns(spark):
+    df = spark.range(300).select("id", (F.col("id") % 11).cast("double").alias("a"), F.lit(None).cast("double").alias("e"),
+                                 F.when(F.col("id") % 3 > 0, F.expr("date_add(date'2024-01-01', cast(id as int))")).alias("d"),
+                                 (F.col("id") % 11 + F.when(F.col("id") % 3 == 0, 50).otherwise(0)).cast("double").alias("t"))
+    model = M.fit_model(df, ROLES, "regression", "LR", ("Date",))
+    assert "d_missing" in model.encoder.inputs and rmse(model.transform(df)) < 5
+    axes = E.pca(df, ["a", "e"], 2).select("pca").first()[0]
+    assert len(axes) == 1
+    assert E.kmean(df, ["a", "e"], 3).select("cluster").distinct().count() == 3
+    with pytest.raises(ValueError, match="no numeric column"):
+        E.pca(df, ["e"], 1)
+
+
+def test_quadratic_kappa_needs_every_true_class(spark):
+    df = spark.createDataFrame([("a", 0.9, 0.1), ("b", 0.2, 0.8), ("c", 0.5, 0.5)], "y string, pa double, pb double")
+    with pytest.raises(Exception, match="true class c"):
+        multiclass_metrics(df, "y", {"a": "pa", "b": "pb"}, names=["qkappa"]).collect()
+    assert abs(multiclass_metrics(df, "y", {"a": "pa", "b": "pb"}, names=["accuracy"]).first()[0] - 2 / 3) < 1e-12
+
+
+def test_short_items_are_found_in_documents(spark):
+    items = spark.createDataFrame([(1, "one"), (2, "two words"), (3, "three inner words"), (4, "absent"), (5, "")], "item_id long, p string")
+    docs = spark.createDataFrame([(10, "someone said two wordsmiths"), (11, "xx three inner words"), (12, ""), (13, None)], "doc_id long, text string")
+    got = {tuple(r) for r in contained_in(items, docs, "item_id", "p", "doc_id", "text").collect()}
+    assert got == {(1, 10), (2, 10), (3, 11)}
+    assert contained_in(items.where("false"), docs, "item_id", "p", "doc_id", "text").count() == 0
