@@ -6,19 +6,20 @@ import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, MultilayerPerceptronClassifier, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from lumenfold.functions.hashing import hash_share
 from lumenfold.functions.skew import lookup_join
-from lumenfold.operators import features as E
+from lumenfold.operators import features as E, trees as TR
 from lumenfold.operators.joins import apply_encoding
 from lumenfold.operators.metrics import (ASCENDING, DEFAULT_METRIC, binary_metrics, multiclass_metrics, regression_metrics)
 from lumenfold.operators.profile import numeric_columns, string_columns
@@ -37,6 +38,7 @@ PRESETS = {
     "ultra": ("quick", ["XGB"], ["XGB"], ["LR"], NO_AXES, False),
     "nano": ("quick", ["LR"], ["LR"], [], [], False),
 }
+TREE_CODES = ("XGB", "LGB", "CB", "ET")
 GRID_SIZE = {"quick": 1, "normal": 4, "advanced": 12}
 SEED = 7
 
@@ -67,10 +69,8 @@ class TrainingConfig:
 
 
 def learner(code: str, problem: str, n_features: int, n_classes: int = 2, weight: str | None = None):
-    """Spark estimator for a model code; the three boosting codes are presets of one boosted-tree learner."""
+    """Spark estimator for a model code; boosted and extra trees are those of operators.trees."""
     regress = problem == "regression"
-    boosting = {"XGB": dict(maxDepth=4, maxIter=15, stepSize=0.2), "LGB": dict(maxDepth=5, maxIter=12, stepSize=0.2),
-                "CB": dict(maxDepth=3, maxIter=20, stepSize=0.2)}
     if code == "LR":
         out = LinearRegression(regParam=1e-3) if regress else LogisticRegression(
             regParam=1e-3, family="binomial" if n_classes == 2 else "multinomial")
@@ -78,14 +78,6 @@ def learner(code: str, problem: str, n_features: int, n_classes: int = 2, weight
         out = (DecisionTreeRegressor if regress else DecisionTreeClassifier)(maxDepth=5, seed=SEED)
     elif code == "RF":
         out = (RandomForestRegressor if regress else RandomForestClassifier)(numTrees=20, maxDepth=5, seed=SEED)
-    elif code == "ET":
-        out = (RandomForestRegressor if regress else RandomForestClassifier)(
-            numTrees=20, maxDepth=5, seed=SEED, bootstrap=False, featureSubsetStrategy="onethird", maxBins=8)
-    elif code in boosting:
-        base = (GBTRegressor if regress else GBTClassifier)(seed=SEED, **boosting[code])
-        if weight:
-            base = base.setWeightCol(weight)
-        return base if regress or n_classes == 2 else OneVsRest(classifier=base, **({"weightCol": weight} if weight else {}))
     elif code == "NN" and not regress:
         return MultilayerPerceptronClassifier(layers=[n_features, 8, n_classes], maxIter=40, seed=SEED)
     else:
@@ -102,15 +94,29 @@ def param_grid(estimator, code: str, profile: str):
     if code == "LR":
         grid = grid.addGrid(estimator.regParam, [1e-3, 1e-1]).addGrid(estimator.elasticNetParam, [0.0, 0.5])
         extra = (estimator.maxIter, [20, 50, 100])
-    elif code in ("XGB", "LGB", "CB"):
-        grid = grid.addGrid(estimator.maxDepth, [3, 5]).addGrid(estimator.stepSize, [0.1, 0.3])
-        extra = (estimator.maxIter, [10, 20, 30])
+    elif code == "NN":
+        first, _, last = estimator.getLayers()
+        grid = grid.addGrid(estimator.layers, [[first, 8, last], [first, 16, last]]).addGrid(estimator.maxIter, [40, 80])
+        extra = (estimator.tol, [1e-6, 1e-4, 1e-3])
     else:
         grid = grid.addGrid(estimator.maxDepth, [4, 7]).addGrid(estimator.minInstancesPerNode, [1, 10])
         extra = (estimator.maxBins, [16, 32, 64])
     return (grid.addGrid(*extra) if size == 12 else grid).build()
 
 
+def tree_grid(code: str, profile: str) -> list[dict]:
+    """1, 4 or 12 settings of the tree learners."""
+    if GRID_SIZE[profile] == 1:
+        return [{}]
+    most = GRID_SIZE[profile] == 12
+    if code == "ET":
+        axes = {"depth": [3, 4, 6, 7] if most else [4, 7], "trees": [10, 20, 30] if most else [10, 30]}
+    else:
+        axes = {"leaves": [8, 16]} if code == "LGB" else {"depth": [3, 5]}
+        axes |= {"step": [0.1, 0.3], **({"rounds": [8, 12, 20]} if most else {})}
+    return [dict(zip(axes, values)) for values in product(*axes.values())]
+
+
 # --- encoding a table into one vector -----------------------------------------------------------------------------
 
 @dataclass
@@ -192,9 +198,8 @@ class FittedModel:
     def score_encoded(self, encoded: DataFrame) -> DataFrame:
         out = self.stages.transform(encoded)
         if self.problem != "regression":
-            raw = (vector_to_array("probability") if "probability" in out.columns
-                   else F.transform(vector_to_array("rawPrediction"), lambda r: 1 / (1 + F.exp(-r))))
-            out = out.withColumn("_p", raw)
+            if "_p" not in out.columns:
+                out = out.withColumn("_p", vector_to_array("probability"))
             total = F.aggregate("_p", F.lit(0.0), lambda a, x: a + x)
             for i, c in enumerate(self.classes):
                 out = out.withColumn(f"pred_{c}", F.col("_p")[i] / total)
@@ -238,6 +243,31 @@ def _search_folds(df: DataFrame, roles: ColumnRoles) -> tuple[DataFrame, int]:
     return assign_folds(df, 3, [roles.id], None, "_cv_fold"), 3
 
 
+def by_weight(df: DataFrame, roles: ColumnRoles) -> DataFrame:
+    """Rows repeated in proportion to their weight, about as many as before: for learners without weights. The remainder of a
+    weight decides by the row's hash whether one more copy is made."""
+    ratio = F.coalesce(F.col(roles.weight).cast("double"), F.lit(0.0)) / df.agg(F.avg(roles.weight)).first()[0]
+    copies = F.floor(ratio) + (hash_share(roles.id, salt="weight") < ratio - F.floor(ratio)).cast("long")
+    return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies.cast("int")))).drop("_copy")
+
+
+def _search_trees(encoded: DataFrame, roles: ColumnRoles, problem: str, profile: str, given: dict) -> dict:
+    """The setting of least mean squared error (of numbers) or log loss (of classes) over the folds; one aggregate a fold and setting."""
+    folded, folds = _search_folds(encoded, roles)
+    folded = cut_lineage(folded)
+    losses = []
+    for settings in tree_grid(given["code"], profile):
+        total = 0.0
+        for f in range(folds):
+            stage = TR.fit_trees(folded.where(F.col("_cv_fold") != f), **given, **settings)
+            scored = stage.transform(folded.where(F.col("_cv_fold") == f))
+            loss = (F.pow(F.col("prediction") - F.col("_y"), 2) if problem == "regression"
+                    else -F.ln(F.greatest(F.col("_p")[F.col("_y").cast("int")], F.lit(1e-15))))
+            total += scored.agg(F.avg(loss)).first()[0] or 0.0
+        losses.append((total, len(losses), settings))
+    return min(losses)[2]
+
+
 def fit_model(train: DataFrame, roles: ColumnRoles, problem: str, code: str, modules: Sequence[str] = ("freq", "Date"),
               profile: str | None = None, encoder: Encoder | None = None, encoded: DataFrame | None = None,
               name: str | None = None, cap: int | None = None) -> FittedModel:
@@ -252,12 +282,19 @@ def fit_model(train: DataFrame, roles: ColumnRoles, problem: str, code: str, mod
         if cap is not None:
             keep = E.select_features(encoded, "_y", encoder.inputs, n=cap).collect()
             encoder.inputs = sorted(r["feature"] for r in keep)
-    est = learner(code, problem, len(encoder.inputs), max(2, len(classes)), roles.weight)
+    grid = GRID_SIZE[profile] if profile else 1
+    if code in TREE_CODES:
+        given = dict(inputs=encoder.inputs, code=code, problem=problem, n_classes=len(classes), weight=roles.weight, strings=encoder.strings, order=[roles.id])
+        params = tree_grid(code, profile)[0] if grid == 1 else _search_trees(encoded, roles, problem, profile, given)
+        return FittedModel(name or code, code, problem, roles, encoder, TR.fit_trees(encoded, **given, **params), classes, params, time.time() - start)
+    est = learner(code, problem, len(encoder.inputs), max(2, len(classes)), None if code == "NN" else roles.weight)
     est = est.setLabelCol("_y").setFeaturesCol("_features")
+    if code == "NN" and roles.weight:
+        encoded = by_weight(encoded, roles)
     steps = [VectorAssembler(inputCols=encoder.inputs, outputCol="_raw", handleInvalid="keep"),
              StandardScaler(inputCol="_raw", outputCol="_features", withMean=True)]
     pipe = Pipeline(stages=[*steps, est])
-    if profile is None or GRID_SIZE[profile] == 1 or isinstance(est, (OneVsRest, MultilayerPerceptronClassifier)):
+    if grid == 1:
         fitted, params = pipe.fit(encoded), {}
     else:
         folded, folds = _search_folds(encoded, roles)
