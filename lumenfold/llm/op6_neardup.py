@@ -25,6 +25,8 @@ from lumenfold.llm.wordhash import mix, pieces
 
 BANDS, WIDTH, SHINGLE = 64, 6, 5
 CHUNK, BLOCK, LIKELY = 64, 256, 0.66
+#: Rows sketched together: short texts fill a piece with many rows, and each has BANDS * WIDTH bins in several arrays.
+SKETCHED = 1024
 SKETCH_SCHEMA = "doc_id long, n_shingles long, k1 long, k2 long, bands array<long>"
 
 
@@ -77,7 +79,7 @@ def sketch(flat: np.ndarray, offsets: np.ndarray, t: int) -> np.ndarray:
 def sketches(batches):
     t = BANDS * WIDTH
     for batch in batches:
-        for p in pieces(batch.column("text"), lower=True):
+        for p in pieces(batch.column("text"), lower=True, rows=SKETCHED):
             flat, offsets = shingle_sets(p)
             sizes = np.diff(offsets)
             bins = sketch(flat, offsets, t).reshape(p.rows, BANDS, WIDTH)
@@ -175,7 +177,7 @@ def _several_texts(filled: DataFrame, classes: DataFrame) -> DataFrame:
 def signatures(batches):
     """One byte of each bin of the sketch."""
     for batch in batches:
-        for p in pieces(batch.column("text"), lower=True):
+        for p in pieces(batch.column("text"), lower=True, rows=SKETCHED):
             bins = (mix(sketch(*shingle_sets(p), BANDS * WIDTH)) & np.uint64(255)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(p.row, p.rows), pa.array([x.tobytes() for x in bins], pa.binary())],
                                              ["rep", "signature"])

@@ -89,8 +89,8 @@ def folded(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return mix(np.add.reduceat(values * _powers(int(lengths.max()))[place], starts) ^ lengths.astype(np.uint64))
 
 
-def pieces(column: pa.Array, lower: bool = False, size: int = PIECE) -> Iterator[Piece]:
-    """Cut a string column (nulls: no words) into pieces and find and hash the words `[^\\x20\\x09-\\x0D]+` of each."""
+def pieces(column: pa.Array, lower: bool = False, size: int = PIECE, rows: int = 1 << 30) -> Iterator[Piece]:
+    """Cut a string column (nulls: no words) into pieces of at most rows rows and find and hash the words `[^\\x20\\x09-\\x0D]+` of each."""
     column = column.cast(pa.large_string()).fill_null("")
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -99,7 +99,7 @@ def pieces(column: pa.Array, lower: bool = False, size: int = PIECE) -> Iterator
     data = np.frombuffer(body, np.uint8) if body is not None and body.size else np.empty(0, np.uint8)
     r, n = 0, len(column)
     while r < n:
-        end = max(r + 1, int(np.searchsorted(offsets, offsets[r] + size, "right")) - 1)
+        end = min(r + rows, max(r + 1, int(np.searchsorted(offsets, offsets[r] + size, "right")) - 1))
         yield _piece(r, end - r, data[offsets[r]:offsets[end]], offsets[r:end + 1] - offsets[r], lower)
         r = end
 
