@@ -4,23 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lumenfold.functions.ranking import exact_percentiles, prefix_sums
 from lumenfold.functions.skew import hot_key_join
+from lumenfold.operators import trees as TR
+from lumenfold.operators.confidence import QUANTILES
 from lumenfold.operators.joins import compare_main_challenger
 from lumenfold.operators.metrics import regression_metrics
 from lumenfold.operators.registry import collect_predictions
 from lumenfold.operators.roles import contract_report
 
-# The percentiles reported around a regression prediction, and the explainable problems.
-QUANTILES = [1, 5, 10, 25, 50, 75, 95, 99]
+# The explainable problems.
 EXPLAINABLE = ["regression", "classification", "multiclassification"]
 
 
-def predict(model, df: DataFrame) -> DataFrame:
-    """One output row per input row."""
-    return model.transform(df)
+def predict(model, df: DataFrame, confidence: bool = False) -> DataFrame:
+    """One output row per input row; with confidence also the quantiles, or confidence and credibility, of a calibrated model."""
+    return model.with_confidence(df) if confidence else model.transform(df)
 
 
 def confidence_regression(scored: DataFrame, residuals: DataFrame, prediction: str, residual: str, target: str) -> DataFrame:
@@ -64,12 +67,56 @@ def explain_linear(df: DataFrame, row_id: str, coefficients: dict[str, float], p
     return rows.select(row_id, F.explode(cells).alias("e")).select(row_id, "e.feature", "e.contribution")
 
 
-def explain(model, df: DataFrame, row_id: str) -> DataFrame:
-    """(id, feature, contribution) of any fitted model: the change of the output when a feature moves to its mean.
+def explanations(model, df: DataFrame, row_id: str) -> DataFrame:
+    """(id, output, base, contributions): one array of contributions per row, in the order of the model's features.
 
-    All features of all rows are scored in one pass over a table with one extra row per feature.
+    Contributions are exact Shapley values and add up to output - base. Of trees, a feature left open takes either way by the
+    share of training rows that went there (path-dependent); of linear models, it takes its mean. The output is the
+    prediction of a number, the score before the link function of boosted or linear classes (of the last class), or the mean
+    class probability of a forest. Every row is explained where it stands.
     """
     _explainable(model.problem)
+    stage, classes = model.stages.stages[-1], len(model.classes)
+    encoded = model.encoder.apply(df)
+    if isinstance(stage, TR.TreeStage):
+        ensemble, rows, x = stage.ensemble, stage.encoded(encoded), TR.inputs_array(stage.inputs)
+    elif hasattr(stage, "trees") or hasattr(stage, "depth"):
+        ensemble, rows, x = TR.from_spark(stage, classes), model.stages.transform(encoded), vector_to_array("_features")
+    elif hasattr(stage, "coefficientMatrix") or hasattr(stage, "coefficients"):
+        matrix = hasattr(stage, "coefficientMatrix")
+        weights = (stage.coefficientMatrix.toArray()[-1] if matrix else stage.coefficients.toArray()).tolist()
+        base = float(stage.interceptVector[-1] if matrix else stage.intercept)
+        parts = F.zip_with(vector_to_array("_features"), F.array(*[F.lit(float(w)) for w in weights]), lambda a, w: a * w)
+        out = model.stages.transform(encoded).select(row_id, F.lit(base).alias("base"), parts.alias("contributions"))
+        total = F.aggregate("contributions", F.lit(0.0), lambda a, v: a + v)
+        return out.select(row_id, (total + F.col("base")).alias("output"), "base", "contributions")
+    else:
+        raise ValueError(f"{model.code} has no exact explanation")
+    n, output = (len(stage.inputs) if isinstance(stage, TR.TreeStage) else len(model.encoder.inputs)), len(ensemble.base) - 1
+    run, base = TR.shapley(ensemble, n, output)  # small tables of the leaves, sent along with the function
+
+    @F.pandas_udf("struct<output:double,contributions:array<double>>")
+    def explained(x: pd.Series) -> pd.DataFrame:
+        rows = TR.rows_of(x)
+        return pd.DataFrame({"output": ensemble.margins(rows)[:, output], "contributions": list(run(rows))})
+
+    return rows.select(row_id, explained(x).alias("_e")).select(row_id, "_e.output", F.lit(base).alias("base"), "_e.contributions")
+
+
+def explain(model, df: DataFrame, row_id: str) -> DataFrame:
+    """(id, feature, contribution) of any fitted model: exact Shapley values of trees and linear models, else the change of the
+    output when a feature moves to its mean."""
+    _explainable(model.problem)
+    stage = model.stages.stages[-1]
+    if not any(hasattr(stage, x) for x in ("ensemble", "trees", "depth", "coefficients", "coefficientMatrix")):
+        return neutral_changes(model, df, row_id)
+    names = F.array(*[F.lit(c) for c in (stage.inputs if isinstance(stage, TR.TreeStage) else model.encoder.inputs)])
+    cells = F.arrays_zip(names.alias("feature"), F.col("contributions").alias("contribution"))
+    return explanations(model, df, row_id).select(row_id, F.explode(cells).alias("e")).select(row_id, F.col("e.feature").alias("feature"), F.col("e.contribution").alias("contribution"))
+
+
+def neutral_changes(model, df: DataFrame, row_id: str) -> DataFrame:
+    """(id, feature, contribution) of a model without a closed form: each row is scored once more for every feature, in one pass."""
     encoded, inputs = model.encoder.apply(df), model.encoder.inputs
     value = F.col("prediction") if model.problem == "regression" else F.col(f"pred_{model.classes[-1]}")
     means = encoded.select(F.struct(*[F.avg(c).alias(c) for c in inputs])).scalar()

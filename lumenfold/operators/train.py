@@ -6,6 +6,7 @@ import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -20,8 +21,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from lumenfold.functions.hashing import hash_share
 from lumenfold.functions.skew import lookup_join
 from lumenfold.operators import features as E, trees as TR
+from lumenfold.operators.confidence import Calibration, calibrate_classes, calibrate_regression, with_confidence, with_quantiles
 from lumenfold.operators.joins import apply_encoding
-from lumenfold.operators.metrics import (ASCENDING, DEFAULT_METRIC, binary_metrics, multiclass_metrics, regression_metrics)
+from lumenfold.operators.metrics import (ASCENDING, DEFAULT_METRIC, binary_metrics, multiclass_metrics, regression_metrics, top_class)
 from lumenfold.operators.profile import numeric_columns, string_columns
 from lumenfold.operators.roles import ColumnRoles, assign_folds, split_holdout
 from lumenfold.session import cut_lineage
@@ -40,7 +42,7 @@ PRESETS = {
 }
 TREE_CODES = ("XGB", "LGB", "CB", "ET")
 GRID_SIZE = {"quick": 1, "normal": 4, "advanced": 12}
-SEED = 7
+SEED, MAX_FOLDS = 7, 50
 
 
 @dataclass(frozen=True)
@@ -194,6 +196,7 @@ class FittedModel:
     classes: list[str]
     params: dict
     fit_seconds: float
+    calibration: Calibration | None = None
 
     def score_encoded(self, encoded: DataFrame) -> DataFrame:
         out = self.stages.transform(encoded)
@@ -213,6 +216,25 @@ class FittedModel:
         label = F.element_at(F.array(*[F.lit(c) for c in self.classes]), F.col("prediction").cast("int") + 1)
         return out.select(*df.columns, label.alias("prediction"), *[f"pred_{c}" for c in self.classes])
 
+    def with_confidence(self, df: DataFrame) -> DataFrame:
+        """transform, with <target>_quantile=q columns (regression) or confidence and credibility (classes)."""
+        if self.calibration is None:
+            raise ValueError("the model was fitted without calibration")
+        scored = self.transform(df)
+        if self.problem == "regression":
+            return with_quantiles(scored, self.calibration, self.roles.target)
+        return with_confidence(scored, self.calibration, {c: f"pred_{c}" for c in self.classes})
+
+
+def calibrate(model: FittedModel, train: DataFrame, modules: Sequence[str], k: int = 5) -> FittedModel:
+    """The model with the calibration of an out-of-fold table of its own learner and settings."""
+    oof = cut_lineage(cross_validation(train, model.roles, model.problem, model.code, k, modules))
+    if model.problem == "regression":
+        model.calibration = calibrate_regression(oof, model.roles.target)
+    else:
+        model.calibration = calibrate_classes(oof, model.roles.target, {c: f"pred_{c}" for c in model.classes})
+    return model
+
 
 def _target_classes(df: DataFrame, roles: ColumnRoles, problem: str) -> list[str]:
     if problem == "regression":
@@ -270,8 +292,13 @@ def _search_trees(encoded: DataFrame, roles: ColumnRoles, problem: str, profile:
 
 def fit_model(train: DataFrame, roles: ColumnRoles, problem: str, code: str, modules: Sequence[str] = ("freq", "Date"),
               profile: str | None = None, encoder: Encoder | None = None, encoded: DataFrame | None = None,
-              name: str | None = None, cap: int | None = None) -> FittedModel:
-    """Fit one model. A profile searches its grid by cross-validation over key-hash folds; None takes the defaults."""
+              name: str | None = None, cap: int | None = None, confidence: bool = False) -> FittedModel:
+    """Fit one model. A profile searches its grid by cross-validation over key-hash folds; None takes the defaults.
+
+    With confidence, the model also keeps what its out-of-fold scores say about its errors.
+    """
+    if confidence:
+        return calibrate(fit_model(train, roles, problem, code, modules, profile, encoder, encoded, name, cap), train, modules)
     start = time.time()
     roles.check(train.columns)
     classes = _target_classes(train, roles, problem)
@@ -285,7 +312,7 @@ def fit_model(train: DataFrame, roles: ColumnRoles, problem: str, code: str, mod
     grid = GRID_SIZE[profile] if profile else 1
     if code in TREE_CODES:
         given = dict(inputs=encoder.inputs, code=code, problem=problem, n_classes=len(classes), weight=roles.weight, strings=encoder.strings, order=[roles.id])
-        params = tree_grid(code, profile)[0] if grid == 1 else _search_trees(encoded, roles, problem, profile, given)
+        params = {} if grid == 1 else _search_trees(encoded, roles, problem, profile, given)
         return FittedModel(name or code, code, problem, roles, encoder, TR.fit_trees(encoded, **given, **params), classes, params, time.time() - start)
     est = learner(code, problem, len(encoder.inputs), max(2, len(classes)), None if code == "NN" else roles.weight)
     est = est.setLabelCol("_y").setFeaturesCol("_features")
@@ -349,16 +376,28 @@ def problem_metric(scored: DataFrame, roles: ColumnRoles, problem: str, classes:
 
 def cross_validation(df: DataFrame, roles: ColumnRoles, problem: str, code: str, k: int = 5,
                      modules: Sequence[str] = ("freq", "Date")) -> DataFrame:
-    """Out-of-fold table: every row scored by a model that did not see its fold; encoders are fitted per fold too."""
+    """Out-of-fold table: every row scored by a model that did not see its fold; encoders are fitted per fold too.
+
+    One model is fitted for each fold, so a column of folds may hold MAX_FOLDS values at most.
+    """
     folded = assign_folds(df, k, [roles.id], roles.fold, "fold")
     inner = ColumnRoles(**{**roles.__dict__, "fold": "fold"})
-    out = None
-    for f in sorted((r[0] for r in folded.select("fold").distinct().collect()), key=lambda v: (v is not None, v)):
+    values = sorted((r[0] for r in folded.select("fold").distinct().limit(MAX_FOLDS + 1).collect()), key=lambda v: (v is not None, v))
+    if len(values) > MAX_FOLDS:
+        raise ValueError(f"more than {MAX_FOLDS} folds")
+    classes, parts = _target_classes(df, roles, problem), []
+    for f in values:
         held = F.col("fold").eqNullSafe(F.lit(f))  # rows without a fold are a fold of their own
-        model = fit_model(folded.where(~held), inner, problem, code, modules)
+        rest = folded.where(~held)
+        if code == "NBC":
+            model = NaiveBayesModel.fit(rest, problem, inner, [c for c in string_columns(df) if c in roles.features(df.columns)])
+        else:
+            model = fit_model(rest, inner, problem, code, modules)
         scored = model.transform(folded.where(held))
-        out = scored if out is None else out.unionByName(scored)
-    return out
+        # a class that the other folds lack has probability 0
+        missing = {f"pred_{c}": F.lit(0.0) for c in classes if f"pred_{c}" not in scored.columns}
+        parts.append(scored.withColumns(missing).select(*folded.columns, "prediction", *[f"pred_{c}" for c in classes]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def feature_importance(model: FittedModel, df: DataFrame | None = None, metric: str | None = None) -> DataFrame:
@@ -404,13 +443,78 @@ def blend(predictions: dict[str, DataFrame], scores: dict[str, float], key: str,
     return out.select(key, mean.alias(value))
 
 
+@dataclass
+class BlendModel:
+    """Weighted mean of fitted models."""
+
+    members: dict[str, object]
+    weights: dict[str, float]
+    problem: str
+    roles: ColumnRoles
+    classes: list[str]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """One output row per input row; the members' columns are added one after the other, so their scores never have to be joined."""
+        values = ["prediction"] if self.problem == "regression" else [f"pred_{c}" for c in self.classes]
+        out, used = df, [(n, w) for n, w in self.weights.items() if w > 0]
+        for i, (name, _) in enumerate(used):
+            out = self.members[name].transform(out)
+            out = out.withColumnsRenamed({v: f"_b{i}_{j}" for j, v in enumerate(values)}).drop(*(["prediction"] if self.classes else []))
+        means = {v: sum((w * F.col(f"_b{i}_{j}") for i, (_, w) in enumerate(used)), F.lit(0.0)) for j, v in enumerate(values)}
+        if self.classes:
+            return out.withColumns(means).select(*df.columns, top_class({c: F.col(f"pred_{c}") for c in self.classes}).alias("prediction"), *values)
+        return out.select(*df.columns, means["prediction"].alias("prediction"))
+
+
+def blend_weights(oof: dict[str, DataFrame], roles: ColumnRoles, problem: str, classes: Sequence[str], rounds: int = 20) -> dict[str, float]:
+    """Greedy selection with replacement over the out-of-fold scores: shares of the models whose mean has the least squared error.
+
+    One aggregate gives all products of scores and truth; from it the error of any mean of models follows, so the choice
+    itself reads no row.
+    """
+    names = sorted(oof)
+    values = ["prediction"] if problem == "regression" else [f"pred_{c}" for c in classes]
+    weight = F.lit(1.0) if roles.weight is None else F.col(roles.weight).cast("double")
+    wide = None
+    for i, n in enumerate(names):
+        extra = [] if i else [F.col(roles.target).alias("_t"), weight.alias("_w")]
+        one = oof[n].select(roles.id, *extra, *[F.col(f"`{v}`").alias(f"_v{i}_{j}") for j, v in enumerate(values)])
+        wide = one if wide is None else wide.join(one, roles.id)
+    truth = [F.col("_t").cast("double")] if problem == "regression" else [(F.col("_t").cast("string") == c).cast("double") for c in classes]
+    wide = wide.withColumns({f"_v{len(names)}_{j}": t for j, t in enumerate(truth)})
+    size = len(names) + 1
+    cells = [(a, b) for a in range(size) for b in range(a + 1)]
+    row = wide.agg(*[F.sum(F.col("_w") * sum((F.col(f"_v{a}_{j}") * F.col(f"_v{b}_{j}") for j in range(len(values))), F.lit(0.0))).alias(f"g{a}_{b}")
+                     for a, b in cells]).first()
+    gram = [[float(row[f"g{max(a, b)}_{min(a, b)}"] or 0.0) for b in range(size)] for a in range(size)]
+
+    def error(counts):
+        x = [c / sum(counts) for c in counts] + [-1.0]
+        return sum(x[a] * x[b] * gram[a][b] for a in range(size) for b in range(size))
+
+    counts, least = [0] * len(names), math.inf
+    for _ in range(rounds):
+        tries = [(error([c + (i == j) for j, c in enumerate(counts)]), i) for i in range(len(names))]
+        if min(tries)[0] >= least:
+            break
+        least, best = min(tries)
+        counts[best] += 1
+    return {n: c / sum(counts) for n, c in zip(names, counts)}
+
+
+class Models(dict):
+    """Fitted models by name, and their blend if there is one."""
+
+    blend: BlendModel | None = None
+
+
 LEADERBOARD = ("name string, code string, tier string, metric string, score double, params map<string,string>, "
                "fit_seconds double, predict_seconds double, tags array<string>")
 
 
 def fit_experiment(df: DataFrame, roles: ColumnRoles, problem: str, config: TrainingConfig = TrainingConfig(),
                    metric: str | None = None, holdout_share: float = 0.2) -> tuple[DataFrame, dict[str, FittedModel]]:
-    """Fit every model of the configuration; (leaderboard, models). The features are encoded once for all models."""
+    """Fit every model of the configuration; (leaderboard, models). The features are encoded once for all models; a blend is models.blend."""
     metric = metric or DEFAULT_METRIC[problem]
     train, holdout = split_holdout(df, holdout_share, [roles.id])
     train, holdout = cut_lineage(train), cut_lineage(holdout)
@@ -425,7 +529,7 @@ def fit_experiment(df: DataFrame, roles: ColumnRoles, problem: str, config: Trai
     ready = cut_lineage(encoder.apply(holdout))
     plans = [(c, "simple", None) for c in config.simple] + [(c, "normal", None) for c in config.normal] \
         + [(c, "advanced", config.profile) for c in config.advanced]
-    models, rows, tables, scores = {}, [], {}, {}
+    models, rows = Models(), []
     for code, tier, profile in plans:
         if code in ("NBC", "NN") and problem == "regression" or code == "NBC" and not encoder.strings:
             continue  # classifiers only; naive Bayes needs a category
@@ -441,9 +545,18 @@ def fit_experiment(df: DataFrame, roles: ColumnRoles, problem: str, config: Trai
         score = problem_metric(scored, roles, problem, classes, metric)
         rows.append([name, code, tier, metric, score, {k: str(v) for k, v in model.params.items()}, fit_seconds,
                      time.time() - start])
-        models[name], scores[name], tables[name] = model, score, scored
+        models[name] = model
     if config.with_blend and len(models) > 1:
-        rows.append(_blend_row(tables, scores, roles, problem, classes, metric, holdout))
+        # members and shares come from out-of-fold scores of the training rows; the holdout only judges
+        start = time.time()
+        codes = {name: name.split("-")[0] for name in models}
+        tables = {code: cut_lineage(cross_validation(train, roles, problem, code, 3, modules)) for code in sorted(set(codes.values()))}
+        weights = blend_weights({name: tables[code] for name, code in codes.items()}, roles, problem, classes)
+        model = BlendModel(dict(models), weights, problem, roles, classes)
+        fit_seconds, start = time.time() - start, time.time()
+        score = problem_metric(model.transform(holdout), roles, problem, classes, metric)
+        rows.append(["blend", "blend", "blend", metric, score, {k: str(w) for k, w in weights.items()}, fit_seconds, time.time() - start])
+        models.blend = model
     sign = 1 if metric in ASCENDING else -1
     best = min(rows, key=lambda r: sign * r[4])[0]
     fastest = min(rows, key=lambda r: r[7])[0]
@@ -451,17 +564,6 @@ def fit_experiment(df: DataFrame, roles: ColumnRoles, problem: str, config: Trai
     return df.sparkSession.createDataFrame(lines, LEADERBOARD), models
 
 
-def _blend_row(tables, scores, roles, problem, classes, metric, holdout):
-    start, up = time.time(), metric in ASCENDING
-    values = ["prediction"] if problem == "regression" else [f"pred_{c}" for c in classes]
-    out = None
-    for v in values:
-        one = blend(tables, scores, roles.id, v, smaller_is_better=up)
-        out = one if out is None else out.join(one, roles.id)
-    scored = holdout.join(out, roles.id)
-    return ["blend", "blend", "blend", metric, problem_metric(scored, roles, problem, classes, metric), {}, 0.0, time.time() - start]
-
-
 def fit_regression(df, roles, config=TrainingConfig(), metric="rmse"):
     return fit_experiment(df, roles, "regression", config, metric)
 

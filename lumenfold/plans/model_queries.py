@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumenfold.operators import predict as D, train as M
+from lumenfold.operators import predict as D, train as M, trees as TR
 from lumenfold.operators.roles import ColumnRoles, split_holdout
 from lumenfold.plans.catalog import (REGRESSION_SQL, STATUS_SQL, STATUSES, class_probs, register, regression_rows, rounded,
-                                     status_rows, table)
+                                     sql_hash, status_rows, table)
+from lumenfold.session import cut_lineage
 
 REGRESSION_ROLES = ColumnRoles(target="l_extendedprice", id="line_id")
 BINARY_ROLES = ColumnRoles(target="is_final", id="o_orderkey", time="o_orderdate")
@@ -103,6 +104,49 @@ def blend(spark, sf_dir):
     return rounded(M.blend(tables, {r["model"]: r["rmse"] for r in board}, "l_orderkey", "p"), 2)
 
 
+@register("m09_blend_weights", f"""WITH t AS (SELECT * FROM {CANDIDATES_SQL} r), e1 AS (SELECT unnest(['a', 'b', 'c', 'd']) AS m, unnest([
+    avg(pow(y - a, 2)), avg(pow(y - b, 2)), avg(pow(y - c, 2)), avg(pow(y - d, 2))]) AS e FROM t),
+one AS (SELECT m, e FROM e1 ORDER BY e, m LIMIT 1), pick AS (SELECT t.*, one.m AS m1, CASE one.m WHEN 'a' THEN a WHEN 'b' THEN b WHEN 'c' THEN c ELSE d END AS p1 FROM t, one),
+e2 AS (SELECT unnest(['a', 'b', 'c', 'd']) AS m, unnest([avg(pow(y - (a + p1) / 2, 2)), avg(pow(y - (b + p1) / 2, 2)), avg(pow(y - (c + p1) / 2, 2)),
+    avg(pow(y - (d + p1) / 2, 2))]) AS e FROM pick), two AS (SELECT e2.m FROM e2, one WHERE e2.e < one.e ORDER BY e2.e, e2.m LIMIT 1),
+chosen AS (SELECT m FROM one UNION ALL SELECT m FROM two)
+SELECT n.m AS model, (SELECT count(*) FROM chosen c WHERE c.m = n.m) / (SELECT count(*) FROM chosen)::DOUBLE AS weight FROM (SELECT unnest(['a', 'b', 'c', 'd']) AS m) n""")
+def blend_weights(spark, sf_dir):
+    """Two steps of the greedy selection over given scores."""
+    rows = _candidates(spark, sf_dir)
+    tables = {m: rows.select("l_orderkey", "y", F.col(m).alias("prediction")) for m in "abcd"}
+    weights = M.blend_weights(tables, ColumnRoles(target="y", id="l_orderkey"), "regression", [], rounds=2)
+    return spark.createDataFrame(sorted(weights.items()), "model string, weight double")
+
+
+GAINS_SQL = " UNION ALL ".join(f"""SELECT '{c}' AS feature, {c} AS threshold, gl AS g, hl AS h FROM (SELECT {c}, sum(sum(m - l_extendedprice)) OVER w AS gl,
+    sum(count(*)) OVER w AS hl FROM lineitem, mean GROUP BY {c} WINDOW w AS (ORDER BY {c})) z""" for c in ("l_quantity", "l_discount", "l_tax"))
+
+
+@register("m06_first_split_gains", f"""WITH mean AS (SELECT avg(l_extendedprice) AS m, count(*) AS n FROM lineitem), cuts AS ({GAINS_SQL})
+SELECT feature, threshold, round(g * g / (h + 1) + g * g / (n - h + 1), -3) AS gain FROM cuts, mean WHERE h >= 2 AND n - h >= 2""")
+def first_split_gains(spark, sf_dir):
+    """Second-order gain of every first split of a boosted tree."""
+    lines = table(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", "l_tax", "l_extendedprice")
+    return rounded(TR.root_gains(lines, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice"), -3, "gain")
+
+
+@register("m06_better_than_mean", """WITH t AS (SELECT l_orderkey, sum(l_extendedprice) AS price FROM lineitem GROUP BY l_orderkey),
+s AS (SELECT count(*) AS n, round(stddev_pop(price), 2) AS mean_rmse FROM t)
+SELECT unnest(['CB', 'ET', 'LGB', 'XGB']) AS model, n, mean_rmse, true AS better FROM s""")
+def better_than_mean(spark, sf_dir):
+    """Training loss of the four tree learners against that of the mean."""
+    df = cut_lineage(regression_table(spark, sf_dir))
+    out = None
+    for code in ("CB", "ET", "LGB", "XGB"):
+        scored = M.fit_model(df, REGRESSION_ROLES, "regression", code).transform(df)
+        error = F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("l_extendedprice"), 2)))
+        one = scored.agg(F.lit(code).alias("model"), F.count(F.lit(1)).alias("n"), F.round(F.stddev_pop("l_extendedprice"), 2).alias("mean_rmse"),
+                         (error < 0.75 * F.stddev_pop("l_extendedprice")).alias("better"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("m20_evaluate_external", "SELECT * FROM (" + " UNION ALL ".join(
     f"""SELECT '{m}' AS model, round(sqrt(avg(pow(y - {m}, 2))), 2) AS rmse, round(avg(abs(y - {m})), 2) AS mae,
     round(median(abs(y - {m})), 2) AS mer FROM {CANDIDATES_SQL} r""" for m in "abcd") + ") u")
@@ -188,6 +232,44 @@ def explain_linear(spark, sf_dir):
     return rounded(D.explain_linear(table(spark, sf_dir, "customer"), "c_custkey", {"c_acctbal": 0.5, "c_nationkey": -2.0}), 4)
 
 
+FOLD_SQL = f"{sql_hash('(l_orderkey::VARCHAR || chr(102) || chr(111) || chr(108) || chr(100))')} % 5"
+
+
+@register("d02_confidence_fitted", f"""WITH t AS MATERIALIZED (SELECT l_orderkey AS line_id, sum(l_extendedprice) AS y, sum(l_quantity) AS x,
+    {FOLD_SQL} AS fold FROM lineitem GROUP BY l_orderkey),
+fits AS (SELECT f.fold, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM t JOIN (SELECT DISTINCT fold FROM t) f ON t.fold <> f.fold GROUP BY f.fold),
+q AS MATERIALIZED (SELECT quantile_cont(y - (a * x + b), [{", ".join(str(q / 100) for q in D.QUANTILES)}]) AS q FROM t JOIN fits USING (fold)),
+whole AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM t)
+SELECT line_id, round(a * x + b) AS prediction, {", ".join(f'round(a * x + b + q[{i}]) AS "y_quantile={q}"' for i, q in enumerate(D.QUANTILES, 1))}
+FROM t, whole, q""")
+def confidence_fitted(spark, sf_dir):
+    """Predictions of a fitted line with the percentiles of its own out-of-fold residuals."""
+    df = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("line_id")).agg(
+        F.sum("l_extendedprice").alias("y"), F.sum("l_quantity").alias("x"))
+    model = M.fit_model(df, ColumnRoles(target="y", id="line_id"), "regression", "LR", confidence=True)
+    return rounded(D.predict(model, df, confidence=True).drop("x", "y"), 0)
+
+
+@register("d03_confidence_fitted")
+def confidence_fitted_classes(spark, sf_dir):
+    """Confidence and credibility of a fitted classifier, ranked among the rows of each class."""
+    df = multi_table(spark, sf_dir)
+    train, holdout = split_holdout(df, 0.2, ["o_orderkey"])
+    model = M.fit_model(train, MULTI_ROLES, "multiclassification", "LR", confidence=True)
+    return D.predict(model, holdout, confidence=True).drop("o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+@register("d04_explain_trees", """SELECT l_orderkey AS line_id, 0.0::DOUBLE AS gap FROM lineitem GROUP BY l_orderkey""")
+def explain_trees(spark, sf_dir):
+    """What is left of each prediction of a boosted model when its base and all contributions are taken off."""
+    df = cut_lineage(regression_table(spark, sf_dir))
+    model = M.fit_model(df, REGRESSION_ROLES, "regression", "XGB")
+    total = F.aggregate("contributions", F.lit(0.0), lambda a, x: a + x)
+    predicted = model.transform(df).select("line_id", "prediction")
+    both = D.explanations(model, df, "line_id").join(predicted, "line_id")
+    return both.select("line_id", F.abs(F.round(F.col("prediction") - F.col("base") - total, 4)).alias("gap"))
+
+
 @register("d04_explain_any")
 def explain_any(spark, sf_dir):
     df = regression_table(spark, sf_dir)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lumenfold.operators import features as E, predict as D, train as M
+from lumenfold.operators import confidence as C, features as E, predict as D, train as M
 from lumenfold.operators.metrics import multiclass_metrics, regression_metrics
 from lumenfold.operators.roles import ColumnRoles
 from lumenfold.plans.text_queries import contained_in
@@ -235,3 +235,86 @@ def test_short_items_are_found_in_documents(spark):
     got = {tuple(r) for r in contained_in(items, docs, "item_id", "p", "doc_id", "text").collect()}
     assert got == {(1, 10), (2, 10), (3, 11)}
     assert contained_in(items.where("false"), docs, "item_id", "p", "doc_id", "text").count() == 0
+
+
+@pytest.fixture(scope="module")
+def noisy(spark):
+    """A line with skewed noise, and three classes of unequal size and difficulty."""
+    noise = -F.ln(1 - F.rand(5)) * 4
+    x = F.col("id") * 37 % 101
+    return spark.range(4000).select("id", x.cast("double").alias("x"), (x * 2.0 + noise).alias("t"),
+                                    F.when(x + F.randn(9) * 12 > 80, "hi").when(x + F.randn(11) * 25 < 40, "lo").otherwise("mid").alias("k"),
+                                    F.when(x + F.randn(13) * 30 > 70, 1).otherwise(0).alias("b")).cache()
+
+
+def test_quantiles_cover_what_they_say(noisy):
+    train, test = noisy.where("id % 2 = 0").select("id", "x", "t"), noisy.where("id % 2 = 1").select("id", "x", "t")
+    out = D.predict(M.fit_model(train, ROLES, "regression", "LR", confidence=True), test, confidence=True)
+    assert out.count() == 2000 and [c for c in out.columns if "quantile" in c] == [f"t_quantile={q}" for q in D.QUANTILES]
+    share = out.agg(*[F.avg((F.col("t") <= F.col(f"`t_quantile={q}`")).cast("double")).alias(f"q{q}") for q in D.QUANTILES]).first()
+    assert all(abs(share[f"q{q}"] - q / 100) < 0.025 for q in D.QUANTILES)
+    with pytest.raises(ValueError, match="without calibration"):
+        D.predict(M.fit_model(train, ROLES, "regression", "LR"), test, confidence=True)
+
+
+@pytest.mark.parametrize("problem,target", [("multiclassification", "k"), ("classification", "b")])
+def test_p_values_cover_every_class(noisy, problem, target):
+    roles = ColumnRoles(target=target, id="id")
+    train, test = (noisy.where(f"id % 2 = {i}").select("id", "x", target) for i in (0, 1))
+    model = M.fit_model(train, roles, problem, "LR", confidence=True)
+    scored = model.transform(test)
+    probs = {c: f"pred_{c}" for c in model.classes}
+    own = C.p_values(scored, model.calibration, probs)
+    p_true = F.coalesce(*[F.when(F.col(target).cast("string") == c, F.col("_pv")[i]) for i, c in enumerate(model.classes)])
+    for r in own.groupBy(target).agg(*[F.avg((p_true > e).cast("double")).alias(f"e{int(100 * e)}") for e in (0.05, 0.2, 0.5)], F.count(F.lit(1)).alias("n")).collect():
+        assert all(abs(r[f"e{int(100 * e)}"] - (1 - e)) < 0.02 + 2 * (e * (1 - e) / r["n"]) ** 0.5 for e in (0.05, 0.2, 0.5)), r
+    out = D.predict(model, test, confidence=True)
+    assert out.count() == 2000 and out.where("confidence between 0 and 1 and credibility > 0 and credibility <= 1").count() == 2000
+
+
+def test_p_values_against_a_plain_count(spark):
+    rows = [("a", 0.9, 0.1), ("a", 0.4, 0.6), ("a", 0.4, 0.6), ("b", 0.2, 0.8), ("b", 0.7, 0.3)]
+    oof = spark.createDataFrame(rows, "y string, pa double, pb double")
+    got = C.p_values(spark.createDataFrame([(0.4, 0.6), (0.95, 0.05), (0.05, 0.95)], "pa double, pb double"),
+                     C.calibrate_classes(oof, "y", {"a": "pa", "b": "pb"}), {"a": "pa", "b": "pb"}).collect()
+    for r in got:
+        for i, (c, p) in enumerate((("a", r["pa"]), ("b", r["pb"]))):
+            own = [1 - (x[1] if c == "a" else x[2]) for x in rows if x[0] == c]
+            assert abs(r["_pv"][i] - (sum(s >= 1 - p for s in own) + 1) / (len(own) + 1)) < 1e-12
+
+
+def test_blend_is_chosen_out_of_fold(noisy):
+    df = noisy.select("id", "x", "t")
+    board, models = M.fit_regression(df, ROLES, M.TrainingConfig(advanced=(), normal=("LR",), simple=("DT",), with_blend=True))
+    blend = models.blend
+    assert abs(sum(blend.weights.values()) - 1) < 1e-12 and blend.transform(df).columns == [*df.columns, "prediction"]
+    rows = {r["name"]: r for r in board.collect()}
+    assert rows["blend"]["fit_seconds"] > 0 and rows["blend"]["score"] <= 1.02 * min(rows["LR-normal"]["score"], rows["DT-simple"]["score"])
+
+
+def test_greedy_selection_against_every_step(spark):
+    rng = np.random.default_rng(3)
+    y = rng.normal(size=80)
+    preds = {n: y + rng.normal(0, s, 80) + b for n, s, b in (("a", 1.0, 0.0), ("b", 0.6, 0.9), ("c", 0.7, -0.8), ("d", 3.0, 0.0))}
+    tables = {n: spark.createDataFrame([(i, float(y[i]), float(p[i])) for i in range(80)], "id long, t double, prediction double") for n, p in preds.items()}
+    names, chosen, least = sorted(preds), [], np.inf
+    for _ in range(20):
+        error, n = min((np.mean((np.mean([preds[m] for m in [*chosen, n]], axis=0) - y) ** 2), n) for n in names)
+        if error >= least:
+            break
+        chosen, least = [*chosen, n], error
+    got = M.blend_weights(tables, ROLES, "regression", [])
+    assert all(abs(got[n] - chosen.count(n) / len(chosen)) < 1e-12 for n in names) and len(set(chosen)) > 1
+
+
+def test_contributions_add_up(noisy):
+    for code, problem, target in (("CB", "regression", "t"), ("DT", "regression", "t"), ("LR", "regression", "t"), ("XGB", "multiclassification", "k"), ("RF", "classification", "b")):
+        df = noisy.where("id < 400").select("id", "x", F.concat(F.lit("s"), F.col("id") % 4).alias("s"), target)
+        model = M.fit_model(df, ColumnRoles(target=target, id="id"), problem, code)
+        rows = D.explanations(model, df, "id").collect()
+        assert len(rows) == 400 and all(abs(r["base"] + sum(r["contributions"]) - r["output"]) < 1e-6 for r in rows)
+        if problem == "regression":
+            want = {r["id"]: r["prediction"] for r in model.transform(df).collect()}
+            assert all(abs(want[r["id"]] - r["output"]) < 1e-6 for r in rows)
+        long = D.explain(model, df, "id")
+        assert long.columns == ["id", "feature", "contribution"] and long.count() == 400 * len(rows[0]["contributions"])
