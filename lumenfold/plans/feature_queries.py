@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lumenfold.operators import features as E, joins as J, timeseries as S
+from lumenfold.operators import features as E, forecasting as X, joins as J, timeseries as S
 from lumenfold.operators.roles import assign_folds
 from lumenfold.plans.catalog import register, rounded, sql_hash, table
 from lumenfold.plans.table_queries import TOKENS_SQL
@@ -187,6 +187,40 @@ def fit_timeseries(spark, sf_dir):
     return S.fit_timeseries(series(spark, sf_dir), ["user_id"], "step", "v", WINDOW, ["n"])[1]
 
 
+SPEC = X.SeriesSpec(("user_id",), "step", "v", WINDOW, ("n",))
+TAIL_SQL = f"""{SERIES_SQL}, last AS (SELECT user_id, max(step) AS last FROM s GROUP BY user_id), known AS (SELECT *, last(v) OVER (PARTITION BY user_id ORDER BY step
+    RANGE BETWEEN 10 PRECEDING AND 5 PRECEDING) AS naive FROM s), rows AS (SELECT a.user_id, a.step, b.step - a.step AS horizon, b.v AS label, a.naive, b.step - last AS ahead, a.step - last AS since
+    FROM known a JOIN s b ON a.user_id = b.user_id AND b.step BETWEEN a.step + 3 AND a.step + 4 JOIN last ON last.user_id = a.user_id)"""
+
+
+@register("t08_tail_rows", f"""WITH {TAIL_SQL} SELECT user_id, step, horizon, round(label, 4) AS label, round(coalesce(naive, 0), 4) AS naive FROM rows
+    WHERE since <= -4 AND ahead > -4""")
+def tail_rows(spark, sf_dir):
+    """The held-out rows of the experiment: origins before the last four steps of a series, targets within them."""
+    rows = X.supervised(series(spark, sf_dir), SPEC)
+    return rounded(X.within(rows, SPEC, 4, 4).select("user_id", "step", "horizon", "label", "naive"), 4)
+
+
+@register("t08_better_than_naive", f"""WITH {TAIL_SQL}, mean AS (SELECT avg(label) AS m FROM rows WHERE ahead <= -4)
+SELECT count(*) AS n, round(sqrt(avg(pow(label - coalesce(naive, m), 2))), 3) AS naive_rmse, true AS better FROM rows, mean WHERE since <= -4 AND ahead > -4""")
+def better_than_naive(spark, sf_dir):
+    """The best model of the experiment against the naive forecast on the tails."""
+    board, models, tail = X.fit_forecasts(series(spark, sf_dir), SPEC, ("LR",), folds=2)
+    naive = board.where("name = 'naive'").first()["tail_score"]
+    error = F.sqrt(F.avg(F.pow(F.col("label") - F.col("prediction"), 2)))
+    return tail.agg(F.count(F.lit(1)).alias("n"), F.round(F.lit(naive), 3).alias("naive_rmse"), (error < naive).alias("better"))
+
+
+@register("t08_forecast_new_series", f"""WITH {SERIES_SQL}, last AS (SELECT user_id, max(step) AS step FROM s GROUP BY user_id), known AS (SELECT *, last(v) OVER (PARTITION BY user_id
+    ORDER BY step RANGE BETWEEN 10 PRECEDING AND 5 PRECEDING) AS naive FROM s)
+SELECT user_id, step, unnest([3, 4]) AS horizon, round(coalesce(naive, 0), 4) AS naive, true AS predicted FROM known JOIN last USING (user_id, step)""")
+def forecast_new_series(spark, sf_dir):
+    """A model of the users with even ids forecasts every user: one row for each horizon."""
+    every = series(spark, sf_dir)
+    _, models, _ = X.fit_forecasts(every.where("user_id % 2 = 0"), SPEC, ("LR",), folds=1)
+    return rounded(models["LR"].forecast(every).select("user_id", "step", "horizon", "naive", F.col("prediction").isNotNull().alias("predicted")), 4)
+
+
 @register("t09_seasonal_naive", f"""WITH {SERIES_SQL} SELECT user_id, step, round(last(v) OVER (PARTITION BY user_id ORDER BY step
     RANGE BETWEEN 10 PRECEDING AND 5 PRECEDING), 4) AS naive FROM s""")
 def seasonal_naive(spark, sf_dir):
