@@ -20,6 +20,18 @@ def event_stream(spark, sf_dir):
     return W.file_stream(spark, sf_dir, "events.parquet", table(spark, sf_dir, "events").schema, "ts")
 
 
+def three_days(spark, sf_dir, again: str | None = None):
+    """The events as a stream of three files by time, one a batch; again: what else the second and third file bring, as SQL on (ts, part)."""
+    path, events = scratch_path(spark, "events"), table(spark, sf_dir, "events")
+    part = F.when(F.col("ts") < F.lit("2024-01-11").cast("timestamp_ntz"), 0).when(F.col("ts") < F.lit("2024-01-21").cast("timestamp_ntz"), 1).otherwise(2)
+    for i in range(3):
+        rows = events.where(part == i)
+        if again and i:
+            rows = rows.union(events.withColumn("part", F.lit(i)).where(again).drop("part"))
+        rows.coalesce(1).write.mode("append").parquet(path)
+    return W.file_stream(spark, path, "*.parquet", events.schema, "ts", 1)
+
+
 @register("w01_stream_score", """SELECT event_id, round(s * k + i, 4) AS prediction FROM (SELECT event_id,
     (props::JSON->>'k')::DOUBLE AS k FROM events) e, (SELECT regr_slope(value, k) AS s, regr_intercept(value, k) AS i
     FROM (SELECT value, (props::JSON->>'k')::DOUBLE AS k FROM events) t) m""")
@@ -46,8 +58,11 @@ ROLE_SQL = f"CASE WHEN {sql_hash('user_id::VARCHAR')} % 4 = 0 THEN 'challenger'
 
 @register("w03_stream_usage", f"SELECT strftime(ts, '%Y-%m-%d') AS day, {ROLE_SQL} AS role, count(*) AS n FROM events GROUP BY ALL")
 def stream_usage(spark, sf_dir):
-    rows = event_stream(spark, sf_dir).withColumn("role", F.when(hash_bucket(4, "user_id") == 0, "challenger").otherwise("main"))
-    out = W.latest_result(W.usage_windows(rows, "ts", "role"), *W.fresh_paths(spark, "usage"))
+    """Three batches, and a restart without new data; each batch writes the windows it changed."""
+    rows = three_days(spark, sf_dir).withColumn("role", F.when(hash_bucket(4, "user_id") == 0, "challenger").otherwise("main"))
+    paths = W.fresh_paths(spark, "usage")
+    W.changed_result(W.usage_windows(rows, "ts", "role"), *paths, ["window_start", "role"])
+    out = W.changed_result(W.usage_windows(rows, "ts", "role"), *paths, ["window_start", "role"])
     return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "role", "n")
 
 
@@ -65,8 +80,8 @@ def stream_drift(spark, sf_dir):
     cut = F.array(*[F.lit(e) for e in edges])
     counts = {r["bin"]: r["n"] for r in events.groupBy(bin_number(F.col("value"), cut).alias("bin")).agg(F.count(F.lit(1)).alias("n")).collect()}
     shares = [counts.get(i, 0) / sum(counts.values()) for i in range(5)]
-    windows = W.drift_windows(event_stream(spark, sf_dir), "ts", "value", edges, "10 days", "5 days")
-    out = W.latest_result(windows, *W.fresh_paths(spark, "drift"), finish=lambda batch: W.window_psi(batch, shares))
+    windows = W.drift_windows(three_days(spark, sf_dir), "ts", "value", edges, "10 days", "5 days")
+    out = W.window_psi(W.changed_result(windows, *W.fresh_paths(spark, "drift"), ["window_start", "bin"]), shares)
     return out.select(F.date_format("window_start", "yyyy-MM-dd").alias("window_start"), F.round("psi", 6).alias("psi"))
 
 
@@ -79,11 +94,13 @@ FAILURE = [("error", "failed")]
 SELECT user_id, CASE WHEN bool_or(event_type = 'error' AND v = 'failed') THEN 'failed' WHEN bool_or(event_type = 'click' AND v = 'done')
     AND bool_or(event_type = 'view' AND v = 'done') THEN 'done' ELSE 'running' END AS status FROM l GROUP BY user_id""")
 def resource_status(spark, sf_dir):
-    rows = event_stream(spark, sf_dir).withColumn("state", F.when(F.col("value") > 20, "failed").when(F.col("value") > 2, "done")
-                                                  .otherwise("running"))
-    latest = W.latest_values(rows, "user_id", "event_type", "state", ["ts", "event_id"])
-    return W.latest_result(latest, *W.fresh_paths(spark, "status"),
-                           finish=lambda batch: W.resource_status(batch, "user_id", "event_type", SUCCESS, FAILURE))
+    """State per resource over three batches, and a restart without new data."""
+    paths = W.fresh_paths(spark, "status")
+    rows = three_days(spark, sf_dir).withColumn("state", F.when(F.col("value") > 20, "failed").when(F.col("value") > 2, "done")
+                                                .otherwise("running"))
+    changes = W.status_changes(rows, "user_id", "event_type", "state", "ts", "event_id", SUCCESS, FAILURE)
+    W.changed_result(changes, *paths, ["user_id"])
+    return W.changed_result(changes, *paths, ["user_id"]).select("user_id", "status")
 
 
 @register("w06_late_duplicates", "SELECT event_id, value FROM events")
@@ -95,6 +112,15 @@ def late_duplicates(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@register("w06_late_rows", "SELECT event_id, value FROM events")
+def late_rows(spark, sf_dir):
+    """The second batch repeats days that the watermark still covers, the third one days long gone: neither changes the result."""
+    again = "(part = 1 and ts >= timestamp_ntz'2024-01-08' and ts < timestamp_ntz'2024-01-11') or (part = 2 and ts < timestamp_ntz'2024-01-03')"
+    out, state = W.fresh_paths(spark, "late")
+    W.append_stream(W.drop_late_duplicates(three_days(spark, sf_dir, again), "ts", ["event_id"], "5 days").select("event_id", "value"), out, state)
+    return spark.read.parquet(out)
+
+
 @register("s14_snapshot", "SELECT o_orderkey, o_totalprice * 2 AS o_totalprice FROM orders")
 def snapshot(spark, sf_dir):
     path = scratch_path(spark, "snapshot")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from lumenfold.operators.drift import bin_number, psi_of
 from lumenfold.session import scratch_path
@@ -14,9 +16,10 @@ ROLES = ("main", "challenger")
 STATES = ("done", "running", "failed", "pending")
 
 
-def file_stream(spark: SparkSession, directory: str, file_name: str, schema: T.StructType, ts: str | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, directory: str, file_name: str, schema: T.StructType, ts: str | None = None,
+                files_a_batch: int = 1000) -> DataFrame:
     """Files of one name pattern as an append stream; the time column becomes a zoned timestamp for watermarks."""
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", file_name).parquet(directory)
+    rows = spark.readStream.schema(schema).option("pathGlobFilter", file_name).option("maxFilesPerTrigger", files_a_batch).parquet(directory)
     return rows.withColumn(ts, F.col(ts).cast("timestamp")) if ts else rows
 
 
@@ -28,15 +31,38 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str) -> None:
 
 def latest_result(stream: DataFrame, path: str, checkpoint: str, finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Run a complete-mode aggregate; each micro-batch replaces the result of its own number, the newest one is read."""
-    last = {}
-
     def keep(batch: DataFrame, number: int) -> None:
         out = finish(batch) if finish else batch
         out.write.mode("overwrite").parquet(f"{path}/batch={number}")
-        last["number"] = number
     stream.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", checkpoint) \
         .trigger(availableNow=True).start().awaitTermination()
-    return stream.sparkSession.read.parquet(f"{path}/batch={last['number']}")
+    every = stream.sparkSession.read.parquet(path)
+    return every.where(F.col("batch") == every.agg(F.max("batch")).scalar()).drop("batch")
+
+
+def write_changes(stream: DataFrame, path: str, checkpoint: str) -> dict[str, int]:
+    """Run an update-mode stream: each micro-batch writes only the rows that changed in it, under its own number, so a batch
+    that is run again replaces itself. Returns the rows dropped as too late and the rows of state left, by the stream's own count."""
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+    query = stream.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    steps = [[o for o in p["stateOperators"]] for p in query.recentProgress]
+    return {"late": sum(o["numRowsDroppedByWatermark"] for ops in steps for o in ops), "state": sum(o["numRowsTotal"] for o in steps[-1]) if steps else 0}
+
+
+def merged_changes(spark: SparkSession, path: str, keys: Sequence[str], schema: T.StructType) -> DataFrame:
+    """The newest row of each key among the changes of all batches, one shuffle by key."""
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(path)
+    rest = [c for c in schema.names if c not in keys]
+    newest = F.max_by(F.struct(*rest), "batch").alias("_newest")
+    return rows.groupBy(*keys).agg(newest).select(*[c if c in keys else F.col(f"_newest.{c}").alias(c) for c in schema.names])
+
+
+def changed_result(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str]) -> DataFrame:
+    """write_changes, then the merged result; a restart without new data reads what is there."""
+    write_changes(stream, path, checkpoint)
+    return merged_changes(stream.sparkSession, path, keys, stream.schema)
 
 
 def stream_score(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> None:
@@ -97,6 +123,56 @@ def resource_status(latest: DataFrame, resource: str, key: str, success: Sequenc
     return latest.groupBy(resource).agg(F.when(failed, "failed").when(done, "done").otherwise("running").alias("status"))
 
 
+def status_of(latest: dict[str, str], success: Sequence[tuple[str, str]], failure: Sequence[tuple[str, str]]) -> str:
+    if any(latest.get(k) == v for k, v in failure):
+        return "failed"
+    return "done" if all(latest.get(k) == v for k, v in success) else "running"
+
+
+def status_changes(rows: DataFrame, resource: str, key: str, value: str, ts: str, order: str, success: Sequence[tuple[str, str]],
+                   failure: Sequence[tuple[str, str]], delay: str = "1 day", idle: str = "60 days") -> DataFrame:
+    """(resource, status, since) whenever a resource's status changes, from a state kept per resource.
+
+    The state holds the newest (time, order, value) of each key. A resource without records for the idle time gets the status
+    `expired`, and its state is freed by an event-time timer. Before the shuffle every task keeps only the newest record of
+    each (resource, key) of a batch, so a resource with a large share of the records sends few of them.
+    """
+    if len({k for k, _ in success}) != len(success):
+        raise ValueError("success checks need distinct keys")
+    kind = rows.schema[resource].dataType.simpleString()
+    idle_ms = int(pd.Timedelta(idle).total_seconds() * 1000)
+
+    def newest(batches):
+        for b in batches:
+            yield b.sort_values([ts, order]).groupby([resource, key], dropna=False).tail(1)
+
+    def follow(group, batches, state: GroupState):
+        if state.hasTimedOut:
+            at = state.getCurrentWatermarkMs()
+            state.remove()
+            yield pd.DataFrame({resource: [group[0]], "status": ["expired"], "since": [pd.Timestamp(at, unit="ms", tz="UTC").tz_localize(None)]})
+            return
+        before, known = None, {}
+        if state.exists:
+            keys, times, orders, values, before = state.get
+            known = {k: (t, o, v) for k, t, o, v in zip(keys, times, orders, values)}
+        for b in batches:
+            for k, t, o, v in zip(b[key], b[ts], b[order], b[value]):
+                entry = (int(t.value // 1000), int(o), v)
+                if k not in known or entry[:2] >= known[k][:2]:
+                    known[k] = entry
+        status, last = status_of({k: v for k, (_, _, v) in known.items()}, success, failure), max(t for t, _, _ in known.values())
+        state.update(([*known], [t for t, _, _ in known.values()], [o for _, o, _ in known.values()], [v for _, _, v in known.values()], status))
+        state.setTimeoutTimestamp(max(last // 1000 + idle_ms, state.getCurrentWatermarkMs() + 1))
+        if status != before:
+            yield pd.DataFrame({resource: [group[0]], "status": [status], "since": [pd.Timestamp(last, unit="us")]})
+
+    slim = rows.select(resource, key, value, ts, F.col(order).cast("long").alias(order))
+    return slim.mapInPandas(newest, slim.schema).withWatermark(ts, delay).groupBy(resource).applyInPandasWithState(
+        follow, f"{resource} {kind}, status string, since timestamp",
+        "keys array<string>, times array<long>, orders array<long>, vals array<string>, status string", "update", GroupStateTimeout.EventTimeTimeout)
+
+
 def drop_late_duplicates(stream: DataFrame, ts: str, keys: Sequence[str], delay: str = "1 hour") -> DataFrame:
     """First record of each key; later copies within the delay are dropped, and the state expires with the watermark."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
