@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 import time
 from collections.abc import Sequence
+from itertools import combinations
 
+import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -25,6 +27,8 @@ SEARCHES = ["brute_force", "cluster_pruning", "ivf_opq", "hkm", "lsh"]
 DEFAULT_GRID = [("tf_idf", "brute_force"), ("tf_idf", "cluster_pruning"), ("transformer", "brute_force"),
                 ("transformer_fine_tuned", "brute_force")]
 DEFAULT_TOP_K = 10
+#: Recall that approximate searches aim at and what they add to it, the queries they are tuned on, rows to learn a list from, bits flipped at most.
+TARGET, MARGIN, SAMPLE_QUERIES, ROWS_A_LIST, MAX_FLIPS = 0.9, 0.03, 100, 256, 4
 SENTENCE_TOKENS = 8
 
 
@@ -100,18 +104,44 @@ def _lifted(df: DataFrame, row_id: str, is_centre: bool) -> DataFrame:
     return df.select(row_id, F.concat("vector", F.array(half if is_centre else F.lit(1.0))).alias("vector"))
 
 
-def _probe(queries, items, centres, k, probes, query_id, item_id, euclidean):
-    """Put items in the cell of their nearest centre, look into the nearest cells of each query."""
-    sparse = is_sparse(items, "vector")
+def _nearest(rows: DataFrame, row_id: str, centres: DataFrame, n: int, euclidean: bool) -> DataFrame:
+    """(row id, b, place): the n nearest centres of each row."""
+    if euclidean:
+        found = exact_topk(_lifted(rows, row_id, False), _lifted(centres, "centre", True), n, row_id, "centre")
+    else:
+        found = exact_topk(rows, centres, n, row_id, "centre")
+    return found.select(row_id, F.col("centre").alias("b"), F.col("rank").alias("place"))
+
+
+def sampled_truth(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str) -> tuple[DataFrame, DataFrame]:
+    """(at most SAMPLE_QUERIES queries of lowest key hash, their exact k best): what a search is tuned on; one scan of the items."""
+    few = cut_lineage(queries.orderBy(key_hash(query_id), query_id).limit(SAMPLE_QUERIES))
+    return few, cut_lineage(exact_topk(few, items, k, query_id, item_id).select(query_id, item_id))
+
+
+def needed_places(places: DataFrame, target: float, most: int) -> int:
+    """The number of places that holds the target share of the rows of places(place), and a little more; NULL counts as the last place."""
+    share = min(1.0, target + MARGIN)
+    return int(places.agg(F.ceil(F.percentile(F.coalesce("place", F.lit(most)), share)).alias("p")).first()[0] or most)
 
-    def near(rows, row_id, n):
-        if euclidean:
-            return exact_topk(_lifted(rows, row_id, False), _lifted(centres, "centre", True), n, row_id, "centre")
-        return exact_topk(rows, centres, n, row_id, "centre")
-    placed = items.join(near(items, item_id, 1).select(item_id, F.col("centre").alias("b")), item_id)
-    asked = queries.join(near(queries, query_id, probes).select(query_id, F.col("centre").alias("b")), query_id)
+
+def _probe(queries, items, centres, k, probes, query_id, item_id, euclidean, target=None, vectors=None):
+    """Put items in the cell of their nearest centre, look into the nearest cells of each query.
+
+    Without a number of probes, as many as a sample of queries needs to find the target share of its exact neighbours.
+    vectors: the vectors to score by, if they are not those that were placed.
+    """
+    sparse = is_sparse(items, "vector")
+    placed = cut_lineage(_nearest(items, item_id, centres, 1, euclidean).drop("place"))
+    if probes is None:
+        number = centres.count()
+        few, truth = sampled_truth(queries, items, k, query_id, item_id)
+        ranked = _nearest(few, query_id, centres, number, euclidean)
+        probes = needed_places(truth.join(placed, item_id).join(ranked, [query_id, "b"], "left"), target, number)
+    asked = queries.join(_nearest(queries, query_id, centres, probes, euclidean), query_id)
+    rows = (items if vectors is None else vectors).join(placed, item_id)
     return celled_topk(asked.select("b", F.col(query_id).alias("q"), F.col("vector").alias("v")),
-                       cut_lineage(placed.select("b", F.col(item_id).alias("i"), F.col("vector").alias("v"))), k, sparse)
+                       cut_lineage(rows.select("b", F.col(item_id).alias("i"), F.col("vector").alias("v"))), k, sparse)
 
 
 def _named(found: DataFrame, query_id: str, item_id: str) -> DataFrame:
@@ -139,15 +169,26 @@ def _need_dense(items: DataFrame) -> None:
         raise ValueError("this search needs dense vectors")
 
 
-def search_hkm(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str, depth: int = 4, probes: int = 3,
-               seed: int = 7) -> DataFrame:
-    """Tree of two-way k-means splits; the nearest leaves are searched exactly."""
+def search_hkm(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str, depth: int | None = None, probes: int | None = None,
+               seed: int = 7, target: float = TARGET) -> DataFrame:
+    """Tree of two-way k-means splits with about sqrt(n) leaves; the nearest leaves are searched exactly, as many as the target recall needs."""
     _need_dense(items)
-    model = BisectingKMeans(k=2 ** depth, seed=seed, featuresCol="f").fit(items.select(array_to_vector("vector").alias("f")))
-    return _named(finish(_probe(queries, items, _centres(items, model), k, probes, query_id, item_id, True), k),
+    leaves = 2 ** depth if depth is not None else _lists(items)
+    model = BisectingKMeans(k=leaves, seed=seed, featuresCol="f").fit(_fit_rows(items, leaves).select(array_to_vector("vector").alias("f")))
+    return _named(finish(_probe(queries, items, cut_lineage(_centres(items, model)), k, probes, query_id, item_id, True, target), k),
                   query_id, item_id)
 
 
+def _lists(items: DataFrame) -> int:
+    return max(1, math.ceil(math.sqrt(items.count())))
+
+
+def _fit_rows(items: DataFrame, lists: int) -> DataFrame:
+    """Rows to learn centres from: ROWS_A_LIST for each, chosen at random by seed; every item is placed afterwards."""
+    n = items.count()
+    return items if n <= ROWS_A_LIST * lists else items.sample(ROWS_A_LIST * lists / n, seed=7)
+
+
 class Quantiser:
     """Product quantiser on rotated vectors: one code book per slice of dimensions."""
 
@@ -164,31 +205,72 @@ class Quantiser:
             codes.append(np.argmax(part @ book.T - (book * book).sum(axis=1) / 2, axis=1))
         return np.stack(codes, axis=1)
 
+    def coded(self, vectors):
+        """The coded form of vectors, still rotated."""
+        import numpy as np
+        codes = self.encode(vectors)
+        return np.concatenate([book[codes[:, j]] for j, book in enumerate(self.books)], axis=1)
+
     def decode(self, codes):
         import numpy as np
         return np.concatenate([book[codes[:, j]] for j, book in enumerate(self.books)], axis=1) @ self.rotation.T
 
 
-def fit_quantiser(items: DataFrame, dim: int, slices: int, codes: int, seed: int = 7) -> Quantiser:
+def rotated_by(rotation):
+    """A function of vector columns that multiplies by a matrix."""
     import numpy as np
-    vectors = items.select(array_to_vector("vector").alias("f"))
-    model = PCA(inputCol="f", outputCol="r", k=dim).fit(vectors)
-    rotated = cut_lineage(model.transform(vectors).select(vector_to_array("r").alias("r")))
-    edges = [round(i * dim / slices) for i in range(slices + 1)]
-    books = []
-    for a, b in zip(edges, edges[1:]):
-        part = rotated.select(array_to_vector(F.slice("r", a + 1, b - a)).alias("f"))
-        books.append(np.stack(KMeans(k=codes, seed=seed, featuresCol="f", maxIter=10).fit(part).clusterCenters()))
-    return Quantiser(model.pc.toArray(), books)
+
+    @F.pandas_udf("array<double>")
+    def rotated(v: pd.Series) -> pd.Series:
+        return pd.Series(list(np.stack(v.tolist()) @ rotation)) if len(v) else pd.Series([], dtype=object)
+    return rotated
 
 
-def search_ivf_pq(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str, nlist: int = 16,
-                  nprobe: int = 4, slices: int = 8, codes: int = 16, rerank: int = 8, seed: int = 7) -> DataFrame:
-    """Inverted lists by k-means, items scored by their quantised form, the best rerank * k of them exactly."""
+def fit_quantiser(items: DataFrame, dim: int, slices: int, codes: int, seed: int = 7, turns: int = 2) -> Quantiser:
+    """Code books and a rotation that fit each other: starting from the main axes, the books are learned on the rotated vectors,
+    then the rotation is set to the one that brings the vectors nearest to their coded form (from the sum of outer products,
+    added up in the tasks), and so on for some turns."""
+    import numpy as np
+    vectors = cut_lineage(items.select(array_to_vector("vector").alias("f")))
+    rotation = PCA(inputCol="f", outputCol="r", k=dim).fit(vectors).pc.toArray()
+    slices = min(slices, dim)
+    edges = [round(i * dim / slices) for i in range(slices + 1)]
+    raw = vectors.select(vector_to_array("f").alias("v"))
+    for turn in range(turns):
+        turned = cut_lineage(raw.select(rotated_by(rotation)("v").alias("r")))
+        books = []
+        for a, b in zip(edges, edges[1:]):
+            part = turned.select(array_to_vector(F.slice("r", a + 1, b - a)).alias("f"))
+            books.append(np.stack(KMeans(k=codes, seed=seed, featuresCol="f", maxIter=10).fit(part).clusterCenters()))
+        if turn + 1 < turns:
+            own = Quantiser(rotation, books)
+
+            def outer(batches):
+                total = np.zeros((dim, dim))
+                for x in batches:
+                    v = np.stack(x["v"].tolist()) if len(x) else np.zeros((0, dim))
+                    if len(v):
+                        total += v.T @ own.coded(v)
+                yield pd.DataFrame({"at": np.arange(dim * dim), "x": total.ravel()})
+            sums = raw.mapInPandas(outer, "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
+            gram = np.zeros(dim * dim)
+            for r in sums:  # dim x dim
+                gram[r["at"]] = r["x"]
+            u, _, w = np.linalg.svd(gram.reshape(dim, dim))
+            rotation = u @ w
+    return Quantiser(rotation, books)
+
+
+def search_ivf_pq(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str, nlist: int | None = None,
+                  nprobe: int | None = None, slices: int = 16, codes: int = 16, rerank: int = 8, seed: int = 7, target: float = TARGET) -> DataFrame:
+    """About sqrt(n) inverted lists by k-means, as many of them read as the target recall needs; items scored by their quantised
+    form after a learned rotation, the best rerank * k of them exactly."""
     _need_dense(items)
     dim = items.select(F.size("vector")).first()[0]
-    coarse = KMeans(k=nlist, seed=seed, featuresCol="f", maxIter=10).fit(items.select(array_to_vector("vector").alias("f")))
-    quantiser = items.sparkSession.sparkContext.broadcast(fit_quantiser(items, dim, slices, codes, seed))
+    lists = nlist or _lists(items)
+    learned = _fit_rows(items, lists)
+    coarse = KMeans(k=lists, seed=seed, featuresCol="f", maxIter=10).fit(learned.select(array_to_vector("vector").alias("f")))
+    quantiser = items.sparkSession.sparkContext.broadcast(fit_quantiser(learned, dim, slices, codes, seed))
 
     @F.pandas_udf("array<double>")
     def quantised(v):
@@ -197,7 +279,7 @@ def search_ivf_pq(queries: DataFrame, items: DataFrame, k: int, query_id: str, i
         return pd.Series(list(q.decode(q.encode(v.tolist())))) if len(v) else pd.Series([], dtype=object)
     coded = items.select(item_id, "vector", quantised("vector").alias("approx"))
     rough = coded.select(item_id, F.col("approx").alias("vector"))
-    short = finish(_probe(queries, cut_lineage(rough), _centres(items, coarse), k * rerank, nprobe, query_id, item_id, True),
+    short = finish(_probe(queries, items, cut_lineage(_centres(items, coarse)), k * rerank, nprobe, query_id, item_id, True, target, rough),
                    k * rerank)
     pairs = _named(short, query_id, item_id).select(query_id, item_id) \
         .join(queries.select(query_id, F.col("vector").alias("_q")), query_id) \
@@ -207,24 +289,50 @@ def search_ivf_pq(queries: DataFrame, items: DataFrame, k: int, query_id: str, i
     return _named(finish(exact, k), query_id, item_id)
 
 
-def search_lsh(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str, tables: int = 12, bits: int = 4,
-               seed: int = 7) -> DataFrame:
-    """Signs against fixed random planes, several tables; rows that share a signature are compared exactly."""
+def flips(margins, bits: int, most: int):
+    """Rows x most: which bits to flip (as a number), cheapest first, for rows of margins to the planes; the cost of a set of
+    flipped bits is the sum of their squared margins. Sets of up to MAX_FLIPS bits are looked at."""
+    import numpy as np
+    sets = np.array([sum(1 << i for i in c) for n in range(min(MAX_FLIPS, bits) + 1) for c in combinations(range(bits), n)])
+    member = (sets[:, None] >> np.arange(bits) & 1).astype(float)
+    cost = np.square(margins) @ member.T
+    order = np.argsort(cost, axis=1, kind="stable")[:, :most]
+    return sets[order]
+
+
+def search_lsh(queries: DataFrame, items: DataFrame, k: int, query_id: str, item_id: str, tables: int = 8, bits: int | None = None,
+               probes: int | None = None, seed: int = 7, target: float = TARGET) -> DataFrame:
+    """Signs against fixed random planes, several tables of about sqrt(n) buckets. Items lie in one bucket of each table; a query
+    visits its own bucket and those behind the planes it is nearest to, as many as the target recall needs; rows that meet are
+    compared exactly."""
     _need_dense(items)
     import numpy as np
     dim = items.select(F.size("vector")).first()[0]
-    planes = items.sparkSession.sparkContext.broadcast(np.random.default_rng(seed).normal(size=(dim, tables * bits)))
-
-    @F.pandas_udf("array<bigint>")
-    def signatures(v):
-        import pandas as pd
-        if not len(v):
-            return pd.Series([], dtype=object)
-        signs = (np.stack([np.asarray(x, dtype=float) for x in v]) @ planes.value >= 0).reshape(len(v), tables, bits)
-        numbers = (signs * (1 << np.arange(bits))).sum(axis=2) + (np.arange(tables) << bits)
-        return pd.Series(list(numbers.astype("int64")))
-    q = queries.select(F.explode(signatures("vector")).alias("b"), F.col(query_id).alias("q"), F.col("vector").alias("v"))
-    i = items.select(F.explode(signatures("vector")).alias("b"), F.col(item_id).alias("i"), F.col("vector").alias("v"))
+    bits = bits or max(2, min(24, round(math.log2(max(items.count(), 2)) / 2)))
+    planes = np.random.default_rng(seed).normal(size=(dim, tables * bits))
+    every = sum(math.comb(bits, n) for n in range(min(MAX_FLIPS, bits) + 1))
+
+    def signs(v):
+        m = (np.stack([np.asarray(x, dtype=float) for x in v]) @ planes).reshape(len(v), tables, bits)
+        return m, ((m >= 0) * (1 << np.arange(bits))).sum(axis=2)
+
+    def signature(most: int):
+        @F.pandas_udf("array<bigint>")
+        def buckets(v: pd.Series) -> pd.Series:
+            if not len(v):
+                return pd.Series([], dtype=object)
+            m, own = signs(v)
+            around = flips(m.reshape(-1, bits), bits, most).reshape(len(v), tables, -1)
+            return pd.Series(list(((own[:, :, None] ^ around) + (np.arange(tables)[:, None] << bits)).reshape(len(v), -1).astype("int64")))
+        return buckets
+
+    i = cut_lineage(items.select(F.explode(signature(1)("vector")).alias("b"), F.col(item_id).alias("i"), F.col("vector").alias("v")))
+    if probes is None:
+        few, truth = sampled_truth(queries, items, k, query_id, item_id)
+        order = few.select(query_id, F.posexplode(signature(every)("vector")).alias("at", "b")).withColumn("place", F.pmod("at", F.lit(every)) + 1)
+        met = truth.join(i.select(F.col("i").alias(item_id), "b"), item_id).join(order, [query_id, "b"], "left")
+        probes = needed_places(met.groupBy(query_id, item_id).agg(F.min("place").alias("place")), target, every)
+    q = queries.select(F.explode(signature(probes)("vector")).alias("b"), F.col(query_id).alias("q"), F.col("vector").alias("v"))
     found = celled_topk(q, i, k, False).groupBy("q", "i").agg(F.max("score").alias("score"))
     return _named(finish(found, k), query_id, item_id)
 

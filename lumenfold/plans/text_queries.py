@@ -253,6 +253,21 @@ def search_lsh(spark, sf_dir):
     return rounded(X.search_lsh(*dense_pair(spark, sf_dir), 10, "vec_id", "item"))
 
 
+def _recall(key, search):
+    """Share of the exact ten best that a search finds, over all queries."""
+    @register(key, "SELECT count(*) AS n, count(*) >= 1 AS enough FROM (SELECT DISTINCT vec_id FROM embeddings) q")
+    def run(spark, sf_dir):
+        queries, items = dense_pair(spark, sf_dir)
+        got = search(queries, items, 10, "vec_id", "item").select("vec_id", "item").withColumn("found", F.lit(1))
+        want = X.search_brute_force(queries, items, 10, "vec_id", "item").select("vec_id", "item")
+        return want.join(got, ["vec_id", "item"], "left").agg(F.count_distinct("vec_id").alias("n"), (F.count("found") / F.count(F.lit(1)) >= 0.9).alias("enough"))
+
+
+_recall("x07_recall", X.search_ivf_pq)
+_recall("x08_recall", X.search_hkm)
+_recall("x09_recall", X.search_lsh)
+
+
 @register("x11_fit_text_similarity")
 def fit_text_similarity(spark, sf_dir):
     return X.fit_text_similarity(query_rows(spark, sf_dir), catalogue(spark, sf_dir), "item_id", "doc_id", "text", "text",

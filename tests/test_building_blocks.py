@@ -167,6 +167,38 @@ def test_approximate_search_recall(vectors, search, bound, monkeypatch):
     assert all(len(set(v)) == len(v) <= 10 for v in got.values())
 
 
+def test_flips_come_by_cost():
+    rng = np.random.default_rng(1)
+    for row in rng.normal(size=(20, 5)):
+        got = X.flips(row[None], 5, 20)[0].tolist()
+        cost = {s: sum(row[i] ** 2 for i in range(5) if s >> i & 1) for s in range(32) if bin(s).count("1") <= X.MAX_FLIPS}
+        assert len(set(got)) == 20 and got[0] == 0 and [cost[s] for s in got] == sorted(cost.values())[:20]
+
+
+def test_work_grows_less_than_squared(spark, monkeypatch):
+    """Compared pairs of clustered vectors from n to 4 n, and the recall of both."""
+    rng = np.random.default_rng(6)
+    counted = {}
+    plain = topk.celled_topk
+
+    def counting(q, i, k, sparse):
+        both = q.groupBy("b").agg(F.count(F.lit(1)).alias("n")).join(i.groupBy("b").agg(F.count(F.lit(1)).alias("m")), "b")
+        counted[name, size] = both.agg(F.sum(F.col("n") * F.col("m"))).first()[0]
+        return plain(q, i, k, sparse)
+    monkeypatch.setattr(X, "celled_topk", counting)
+    for size in (400, 1600):
+        centres = rng.normal(size=(round(size ** 0.5), 12)) * 3
+        v = centres[rng.integers(0, len(centres), size)] + rng.normal(size=(size, 12)) * 0.6
+        v /= np.linalg.norm(v, axis=1, keepdims=True)
+        df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, vector array<double>").cache()
+        want = np.argsort(-(v @ v.T), axis=1)[:, :10]
+        for name in ("hkm", "lsh"):
+            got = as_lists(X.SEARCH_FUNCTIONS[name](df, df.withColumnRenamed("id", "item"), 10, "id", "item"))
+            assert np.mean([len(set(got.get(q, [])) & set(want[q].tolist())) / 10 for q in range(size)]) >= 0.88
+    for name in ("hkm", "lsh"):
+        assert counted[name, 1600] < 10 * counted[name, 400] and counted[name, 1600] < 0.5 * 1600 ** 2 * (8 if name == "lsh" else 1)
+
+
 def test_search_arguments(vectors):
     _, df = vectors
     for k in (0, -1, 2.5, True):
