@@ -5,9 +5,10 @@ join gives every document the bytes that its group has in each shard; a document
 the shard's quota, its capacity less what it holds, has room. Movers are admitted by running totals of hash buckets, so no
 quota is exceeded and no group is gathered anywhere. Unlinked documents then fill the rest of each capacity.
 
-Law `bytes`: with C = all bytes / shards, documents above C / 64 (fewer than 64 a shard) are dealt out by group, largest first, on
-the driver; all others follow running totals, those above C / 1024 before the small ones, so shards end within about C / 1024
-of each other where the documents allow it.
+Law `bytes`: with C = all bytes / shards, all linked documents of up to C bytes take part in the propagation, whatever their size; the driver
+sets quotas. Of what no link holds, documents above C / 64 (fewer than 64 a shard) are dealt out by the driver, largest first, all others
+follow running totals, those above C / 1024 before the small ones, so shards end within about C / 1024 of each other where the
+documents allow it.
 
 Cases: a null text has size 1 and is linked with other null texts like any equal ones; repeated rows are rows of their own;
 a null doc_id is placed like any other; an empty table gives no rows. Extra columns are not read.
@@ -103,10 +104,20 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, links: DataFrame | No
     rows = stored(rows, "sizes")
     n, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     capacity, buckets = total / shards, max(16, n // BUCKET_ROWS)
-    # fewer than shards * BIG rows by their size: a bounded list
-    big = rows.where(F.col("size") > capacity / BIG).collect()
-    load, placed, whole = dict.fromkeys(range(shards), 0), [], {}
-    for r in big:
+    columns = ["doc_id", "crc", "grp", "size", "shard"]
+    groups = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("grp")
+    linked = stored(rows.join(groups, "grp", "left_semi").withColumn("shard", _bucket(shards, "doc_id", "crc").cast("int")), "linked")
+    linked = propagate(linked, dict.fromkeys(range(shards), int(capacity)))
+    # a first placement by hash can exceed a quota: the surplus goes back to the pool
+    ahead = running(linked, ["shard"], "size", buckets, ["grp", "doc_id", "crc"])
+    ahead = stored(ahead.withColumn("stays", F.col("before") + F.col("size") <= capacity), "linked")
+    kept = ahead.where("stays").select(*columns)
+    pool = rows.join(groups, "grp", "left_anti").select("doc_id", "crc", "grp", "size").union(
+        ahead.where("not stays").select("doc_id", "crc", "grp", "size"))
+    pool = stored(pool, "pool")
+    # what no link holds is dealt out: fewer than shards * BIG large rows by their size, a bounded list, then the rest
+    load, placed, whole = _sums(kept, shards), [], {}
+    for r in pool.where(F.col("size") > capacity / BIG).collect():
         whole.setdefault(r.grp, []).append(r)
     for members in sorted(whole.values(), key=lambda g: (-sum(r["size"] for r in g), g[0].grp)):
         k, left = min(load, key=lambda s: (load[s], s)), sum(r["size"] for r in members)
@@ -115,22 +126,9 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, links: DataFrame | No
                 k = min(load, key=lambda s: (load[s], s))
             load[k], left = load[k] + r["size"], left - r["size"]
             placed.append((r.doc_id, r.crc, r.grp, r["size"], k))
-    columns = ["doc_id", "crc", "grp", "size", "shard"]
-    parts = [spark.createDataFrame(placed, "doc_id long, crc long, grp long, size long, shard int")]
-    rest = rows.where(F.col("size") <= capacity / BIG)
-    groups = rest.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("grp")
-    linked = stored(rest.join(groups, "grp", "left_semi").withColumn("shard", _bucket(shards, "doc_id", "crc").cast("int")), "linked")
-    linked = propagate(linked, {k: int(capacity - load[k]) for k in load})
-    # a first placement by hash can exceed a quota when nearly all is linked: the surplus goes back to the pool
-    ahead = running(linked, ["shard"], "size", buckets, ["grp", "doc_id", "crc"])
-    limit = F.create_map(*[x for k in load for x in (F.lit(k), F.lit(float(capacity - load[k])))])
-    ahead = stored(ahead.withColumn("stays", F.col("before") + F.col("size") <= limit[F.col("shard")]), "linked")
-    kept = ahead.where("stays").select(*columns)
-    pool = rest.join(groups, "grp", "left_anti").select("doc_id", "crc", "grp", "size").union(
-        ahead.where("not stays").select("doc_id", "crc", "grp", "size"))
-    pool = stored(pool, "pool")
-    parts.append(kept)
-    room = {k: capacity - load[k] - v for k, v in _sums(kept, shards).items()}
+    parts = [spark.createDataFrame(placed, "doc_id long, crc long, grp long, size long, shard int"), kept]
+    pool = pool.where(F.col("size") <= capacity / BIG)
+    room = {k: capacity - v for k, v in load.items()}
     for chosen in (pool.where(F.col("size") > capacity / MEDIUM), pool.where(F.col("size") <= capacity / MEDIUM)):
         part = stored(fill(chosen, room, buckets), "filled")
         room = {k: room[k] - v for k, v in _sums(part, shards).items()}

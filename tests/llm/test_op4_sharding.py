@@ -1,7 +1,7 @@
 import zlib
 from collections import defaultdict
 
-from lumenfold.llm.op4_sharding import balanced_shards
+from lumenfold.llm.op4_sharding import balanced_shards, propagate
 
 
 def verify(rows, out, shards, slack):
@@ -54,5 +54,40 @@ def test_links_table(spark):
     assert sum(len(p) == 1 for p in place.values()) >= 45
 
 
+def cut(groups, shard):
+    """Links between equal groups' rows in different shards, by counting pairs."""
+    return sum(shard[a] != shard[b] for g in groups for i, a in enumerate(g) for b in g[:i])
+
+
+def test_large_linked_documents_are_propagated(spark):
+    """A few large documents, all above a 64th of a shard, in groups: nearly no link is cut, and sizes stay even."""
+    rows = [(i, f"group {i // 3} " * (40 + i // 3 % 5)) for i in range(120)] + [(1000 + i, f"single {i} " * 45) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = balanced_shards(docs, shards=4).collect()
+    held = verify(rows, out, 4, max(len(t) for _, t in rows))
+    assert min(r["size"] for r in out) > sum(held.values()) / 4 / 64 / 2
+    shard = {r.doc_id: r.shard for r in out}
+    assert cut([range(3 * g, 3 * g + 3) for g in range(40)], shard) <= 12  # of 120; hashes alone cut about 90
+
+
+def test_each_round_obeys_the_plain_rule(spark):
+    """One round of propagation against a loop: to the group's heaviest shard (the smallest of equals), admitted in order while the quota lasts."""
+    rows = [(i, i, i % 7, 10 + i % 3, (i * 5) % 4) for i in range(140)]
+    linked = spark.createDataFrame(rows, "doc_id long, crc long, grp long, size long, shard int")
+    quota = dict.fromkeys(range(4), 460)
+    got = {r.doc_id: r.shard for r in propagate(linked, quota, rounds=1).collect()}
+    weight, held = defaultdict(int), defaultdict(int)
+    for d, _, g, n, s in rows:
+        weight[g, s] += n
+        held[s] += n
+    main = {g: max((weight[g, s], -s) for s in range(4)) for g in range(7)}
+    after = defaultdict(int)
+    for d, _, g, n, s in rows:
+        assert got[d] in (s, -main[g][1])
+        after[got[d]] += n
+    came = {s: sum(n for d, _, g, n, old in rows if got[d] == s != old) for s in range(4)}
+    assert all(came[s] <= max(0, quota[s] - held[s]) for s in range(4)) and sum(came.values()) > 0
+
+
 def test_empty_table(spark):
     assert balanced_shards(spark.createDataFrame([], "doc_id long, text string")).count() == 0
