@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import combinations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import (IDF, PCA, HashingTF, Imputer, StandardScaler, UnivariateFeatureSelector, VectorAssembler,
-                                Word2Vec)
+from pyspark.ml.feature import (IDF, PCA, CountVectorizer, HashingTF, Imputer, OneHotEncoder, StandardScaler, UnivariateFeatureSelector,
+                                VectorAssembler, Word2Vec)
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
@@ -247,6 +248,70 @@ def image_features(images: DataFrame) -> DataFrame:
     return flat.mapInPandas(measure, schema)
 
 
+@dataclass
+class VectorColumns:
+    """A fitted pipeline whose vector is spread over numeric columns name_0, name_1, ...; text: the column whose tokens it reads."""
+
+    name: str
+    model: PipelineModel
+    vector: str
+    size: int
+    text: str | None = None
+
+    @property
+    def names(self) -> list[str]:
+        return [f"{self.name}_{i}" for i in range(self.size)]
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        rows = df if self.text is None else df.withColumn("_words", tokens(F.coalesce(F.col(self.text), F.lit(""))))
+        out = self.model.transform(rows).withColumn("_array", vector_to_array(self.vector))
+        # one more column first, so that the array is worked out once and not once per element
+        values = {n: F.coalesce(F.get("_array", F.lit(i)), F.lit(0.0)) for i, n in enumerate(self.names)}
+        return out.withColumns(values).select(*df.columns, *self.names)
+
+
+TEXT_MODULES, AXIS_MODULES = ("text_tfidf", "text_word2vec", "text_embedding"), ("pca", "kmean")
+TEXT_TOKENS, TEXT_TERMS, TEXT_DIM, AXES, CLUSTERS = 3, 20, 8, 2, 5
+
+
+def text_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The string columns with TEXT_TOKENS tokens or more on average."""
+    if not columns:
+        return []
+    sizes = df.agg(*[F.avg(F.size(tokens(F.col(c)))).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    return [c for i, c in enumerate(columns) if (sizes[i] or 0) >= TEXT_TOKENS]
+
+
+def fit_text_columns(df: DataFrame, column: str, module: str) -> VectorColumns:
+    """tf-idf of the TEXT_TERMS most widespread terms, mean word vectors, or sentence vectors of a text column."""
+    rows = spread(df.select(column)).select(tokens(F.coalesce(F.col(column), F.lit(""))).alias("_words"))
+    if module == "text_tfidf":
+        stages = [CountVectorizer(inputCol="_words", outputCol="_tf", vocabSize=TEXT_TERMS), IDF(inputCol="_tf", outputCol="_vector")]
+    elif module == "text_word2vec":
+        stages = [Word2Vec(vectorSize=TEXT_DIM, inputCol="_words", outputCol="_vector", seed=7, minCount=1, numPartitions=df.sparkSession.sparkContext.defaultParallelism)]
+    else:
+        return VectorColumns(f"{column}_embedding", text_embedding_model(df, column, TEXT_DIM), "_axes", TEXT_DIM, column)
+    model = Pipeline(stages=stages).fit(rows)
+    size = len(model.stages[0].vocabulary) if module == "text_tfidf" else TEXT_DIM
+    return VectorColumns(f"{column}_{module.removeprefix('text_')}", model, "_vector", size, column)
+
+
+def fit_axis_columns(df: DataFrame, columns: Sequence[str], module: str, seed: int = 7) -> VectorColumns | None:
+    """Main axes of the numeric columns, or whether a row lies in each of CLUSTERS clusters; None if no column has a value."""
+    try:
+        standard = standard_vector(df, columns)
+    except ValueError:
+        return None
+    scaled = standard.transform(df)
+    if module == "pca":
+        size = min(AXES, len(standard.stages[1].getInputCols()))
+        model = PCA(inputCol="_std", outputCol="_vector", k=size).fit(scaled)
+        return VectorColumns("axis", PipelineModel([standard, model]), "_vector", size)
+    model = KMeans(featuresCol="_std", predictionCol="_cluster", k=CLUSTERS, seed=seed).fit(scaled)
+    one = OneHotEncoder(inputCols=["_cluster"], outputCols=["_vector"], dropLast=False).fit(model.transform(scaled))
+    return VectorColumns("cluster", PipelineModel([standard, model, one]), "_vector", one.categorySizes[0])
+
+
 def dataset_embedding(df: DataFrame, row_id: str, label: str, dim: int = 3) -> DataFrame:
     """(id, label, embedding) for exploring a table: numbers and value frequencies, standardised and projected."""
     skip = {row_id, label}

@@ -123,7 +123,8 @@ def tree_grid(code: str, profile: str) -> list[dict]:
 
 @dataclass
 class Encoder:
-    """Fitted feature modules of one training table: lookups for string columns, calendar parts, counts, products."""
+    """Fitted feature modules of one training table: lookups for string columns, calendar parts, counts, products, vectors of texts
+    and of all numbers. Text columns are left to the text modules if one is chosen."""
 
     roles: ColumnRoles
     modules: Sequence[str]
@@ -134,11 +135,13 @@ class Encoder:
     target: dict[str, DataFrame] = field(default_factory=dict)
     target_mean: float = 0.0
     inputs: list[str] = field(default_factory=list)
+    texts: list[str] = field(default_factory=list)
+    vectors: list[E.VectorColumns] = field(default_factory=list)
 
     def _common(self, df: DataFrame) -> tuple[DataFrame, list[str]]:
         out, names = df.fillna(0.0, subset=self.numeric), list(self.numeric)
         if "Counter" in self.modules:
-            out = E.counter(out, self.numeric, self.strings)
+            out = E.counter(out, self.numeric, [*self.strings, *self.texts])
             names += ["n_null", "n_zero", "n_negative", "n_positive", "n_empty", "n_filled"]
         for c in self.dates if "Date" in self.modules else []:
             parts = [f"{c}_{p}" for p in ("year", "month", "weekday", "yearday")]
@@ -147,6 +150,9 @@ class Encoder:
         if "poly" in self.modules:
             out = E.polynomial(out, self.numeric)
             names += [n for n in out.columns if "_x_" in n and n not in df.columns]
+        for v in self.vectors:
+            out = v.apply(out)
+            names += v.names
         for c, m in self.frequency.items():
             out = apply_encoding(out, m, c, f"{c}_freq", 0.0)
             names.append(f"{c}_freq")
@@ -170,11 +176,18 @@ class Encoder:
 
 
 def fit_encoder(df: DataFrame, roles: ColumnRoles, modules: Sequence[str]) -> Encoder:
-    """Column modules only; df carries the numeric target as _y."""
+    """Fit the chosen modules; df carries the numeric target as _y."""
     used = [c for c in roles.features(df.columns) if not c.startswith("_")]
     dates = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))]
     enc = Encoder(roles, modules, [c for c in numeric_columns(df) if c in used], [c for c in string_columns(df) if c in used],
                   [c for c in dates if c in used or c == roles.time])
+    if any(m in E.TEXT_MODULES for m in modules):
+        enc.texts = E.text_columns(df, enc.strings)
+        enc.strings = [c for c in enc.strings if c not in enc.texts]
+        enc.vectors = [E.fit_text_columns(df, c, m) for m in modules if m in E.TEXT_MODULES for c in enc.texts]
+    if enc.numeric:
+        filled = df.fillna(0.0, subset=enc.numeric)
+        enc.vectors += [v for m in modules if m in E.AXIS_MODULES for v in [E.fit_axis_columns(filled, enc.numeric, m)] if v is not None]
     if "freq" in modules:
         enc.frequency = {c: cut_lineage(E.frequency_map(df, c)) for c in enc.strings}
     if "tenc" in modules and enc.strings:
@@ -520,7 +533,7 @@ def fit_experiment(df: DataFrame, roles: ColumnRoles, problem: str, config: Trai
     train, holdout = cut_lineage(train), cut_lineage(holdout)
     classes = _target_classes(train, roles, problem)
     labelled = with_label(train, roles, classes)
-    modules = [m for m in config.features if m in ("Counter", "Date", "freq", "tenc", "poly")]
+    modules = list(config.features)
     encoder = fit_encoder(labelled, roles, modules)
     encoded = cut_lineage(encoder.train(labelled))
     if config.features_kept:

@@ -191,6 +191,20 @@ def fit_multiclassification(spark, sf_dir):
     return M.fit_multiclassification(multi_table(spark, sf_dir), MULTI_ROLES, config)[0]
 
 
+@register("m17_fit_with_text", f"""SELECT count(*) AS n, true AS accurate, 'axis,cluster,text_embedding,text_tfidf,text_word2vec' AS modules FROM documents
+    WHERE {sql_hash("(doc_id::VARCHAR || 'holdout')")} / 4294967296.0 < 0.2""")
+def fit_with_text(spark, sf_dir):
+    """English or not, from the text and axis modules of an experiment."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars", (F.col("lang") == "en").cast("string").alias("english"))
+    roles = ColumnRoles(target="english", id="doc_id")
+    config = M.TrainingConfig(advanced=(), normal=("LR",), features=("text_tfidf", "text_word2vec", "text_embedding", "pca", "kmean"))
+    _, models = M.fit_classification(docs, roles, config)
+    _, holdout = split_holdout(docs, 0.2, ["doc_id"])
+    kinds = sorted({n.rsplit("_", 1)[0] for n in models["LR-normal"].encoder.inputs} - {"n"})
+    hit = F.avg((F.col("prediction") == F.col("english")).cast("double"))
+    return models["LR-normal"].transform(holdout).agg(F.count(F.lit(1)).alias("n"), (hit > 0.85).alias("accurate"), F.lit(",".join(kinds)).alias("modules"))
+
+
 # --- prediction ---------------------------------------------------------------------------------------------------
 
 @register("d01_predict")

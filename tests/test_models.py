@@ -318,3 +318,16 @@ def test_contributions_add_up(noisy):
             assert all(abs(want[r["id"]] - r["output"]) < 1e-6 for r in rows)
         long = D.explain(model, df, "id")
         assert long.columns == ["id", "feature", "contribution"] and long.count() == 400 * len(rows[0]["contributions"])
+
+
+def test_every_feature_module_reaches_the_inputs(spark):
+    df = spark.range(240).select("id", (F.col("id") % 9).cast("double").alias("a"), (F.col("id") % 4).cast("double").alias("b"), F.concat(F.lit("k"), F.col("id") % 3).alias("c"),
+                                 F.when(F.col("id") % 2 == 0, "the red fox runs far away").otherwise("a blue whale swims deep down").alias("words"),
+                                 F.when(F.col("id") % 2 == 0, 10.0).otherwise(20.0).alias("t"))
+    model = M.fit_model(df, ROLES, "regression", "LR", tuple(E.MODULES))
+    kinds = {n.rsplit("_", 1)[0] for n in model.encoder.inputs}
+    assert {"axis", "cluster", "words_tfidf", "words_word2vec", "words_embedding"} <= kinds and {"c_freq", "c_tenc", "a_x_b"} <= set(model.encoder.inputs)
+    assert model.encoder.texts == ["words"] and "words_freq" not in model.encoder.inputs
+    assert rmse(model.transform(df)) < 0.5
+    odd = spark.createDataFrame([(1, None, 2.0, None, None), (2, 1.0, None, "new", "never seen")], "id long, a double, b double, c string, words string")
+    assert model.transform(odd).where("prediction is not null").count() == 2
