@@ -302,3 +302,13 @@ def evaluate(df: DataFrame, problem: str, metric: str | None = None, **args) ->
     run = {"regression": regression_metrics, "classification": binary_metrics,
            "multiclassification": multiclass_metrics}[problem]
     return run(df, names=[metric], **args)
+
+
+def problem_metrics(df: DataFrame, y: str, value: str | dict[str, str], problem: str, groups: Sequence[str] = (), names: Sequence[str] | None = None) -> DataFrame:
+    """Metrics of scored rows by kind of problem; value: the prediction or the probability of class 1, or the probability column of each class."""
+    if problem == "multiclassification":
+        return multiclass_metrics(df, y, {c: F.col(f"`{p}`") for c, p in value.items()}, groups, **({"names": names} if names else {}))
+    if problem not in ("regression", "classification"):
+        raise ValueError(f"unknown problem {problem}")
+    run = regression_metrics if problem == "regression" else binary_metrics
+    return run(df, y, value, groups, **({"names": names} if names else {}))

@@ -13,7 +13,7 @@ from lumenfold.functions.skew import hot_key_join
 from lumenfold.operators import trees as TR
 from lumenfold.operators.confidence import QUANTILES
 from lumenfold.operators.joins import compare_main_challenger
-from lumenfold.operators.metrics import regression_metrics
+from lumenfold.operators.metrics import DEFAULT_METRIC, problem_metrics, regression_metrics, top_class
 from lumenfold.operators.registry import collect_predictions
 from lumenfold.operators.roles import contract_report
 
@@ -147,16 +147,41 @@ def score_main_challenger(main: DataFrame, challenger: DataFrame, key: str, valu
                                                        (F.col("_p.rmse_challenger") - F.col("_p.rmse_main")).alias("rmse_delta"))
 
 
+def compare_classifiers(main: DataFrame, challenger: DataFrame, key: str, probs: dict[str, str], truth: DataFrame | None = None, target: str | None = None,
+                        metric: str = "log_loss") -> tuple[DataFrame, DataFrame]:
+    """(row comparison, summary) of two classifiers: both classes and half the sum of the probabilities' differences per row; share of
+    rows with the same class, mean difference and, with truth, the metric of both. Rows of one side only count in the comparison."""
+    both = main.select(key, *[F.col(f"`{p}`").alias(f"_m{i}") for i, p in enumerate(probs.values())]).join(
+        challenger.select(key, *[F.col(f"`{p}`").alias(f"_c{i}") for i, p in enumerate(probs.values())]), key, "full_outer")
+    sides = {side: {c: F.col(f"_{side[0]}{i}") for i, c in enumerate(probs)} for side in ("main", "challenger")}
+    gap = sum((F.abs(F.col(f"_m{i}") - F.col(f"_c{i}")) for i in range(len(probs))), F.lit(0.0)) / 2
+    rows = both.withColumns({**{side: top_class(columns) for side, columns in sides.items()}, "delta": gap})
+    compared = rows.select(key, "main", "challenger", "delta")
+    counts = compared.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("main") == F.col("challenger")).cast("double")).alias("agreement"),
+                          F.avg("delta").alias("mean_delta"))
+    if truth is None:
+        return compared, counts
+    joined = both.join(truth.select(key, target), key)
+    long = joined.select(target, F.explode(F.array(*[F.struct(F.lit(side).alias("role"), *[columns[c].alias(f"p{i}") for i, c in enumerate(probs)])
+                                                     for side, columns in sides.items()])).alias("e")).select(target, "e.*")
+    scores = problem_metrics(long.where(F.col("p0").isNotNull()), target, {c: f"p{i}" for i, c in enumerate(probs)}, "multiclassification", ["role"], [metric])
+    pair = scores.agg(*[F.max(F.when(F.col("role") == side, F.col(metric))).alias(f"{metric}_{side}") for side in sides])
+    packed = pair.select(F.struct("*")).scalar()
+    return compared, counts.withColumn("_p", packed).select("n", "agreement", "mean_delta", f"_p.{metric}_main", f"_p.{metric}_challenger",
+                                                            (F.col(f"_p.{metric}_challenger") - F.col(f"_p.{metric}_main")).alias(f"{metric}_delta"))
+
+
 def holdout_predictions(models: dict[str, object], holdout: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Predictions of every model on the same rows."""
     return collect_predictions({name: m.transform(holdout).select(*keep, "prediction") for name, m in models.items()}, "model")
 
 
-def prediction_summary(predictions: DataFrame, target: str, prediction: str, inputs: DataFrame, contract: dict[str, str],
-                       seconds: float = 0.0) -> DataFrame:
-    """One row: score (rmse), number of predictions, missing input columns, duration."""
+def prediction_summary(predictions: DataFrame, target: str, prediction: str | dict[str, str], inputs: DataFrame, contract: dict[str, str],
+                       seconds: float = 0.0, problem: str = "regression", metric: str | None = None) -> DataFrame:
+    """One row: score (by default rmse, auc or log loss), number of predictions, missing input columns, duration."""
     missing = contract_report(inputs, contract).where(~F.col("present")).select(
         F.array_join(F.sort_array(F.collect_list("column_name")), ",")).scalar()
-    score = regression_metrics(predictions, target, prediction, names=["rmse"]).scalar()
-    return predictions.agg(F.count(prediction).alias("predictions_count")).select(
+    score = problem_metrics(predictions, target, prediction, problem, names=[metric or DEFAULT_METRIC[problem]]).scalar()
+    counted = next(iter(prediction.values())) if isinstance(prediction, dict) else prediction
+    return predictions.agg(F.count(F.col(f"`{counted}`")).alias("predictions_count")).select(
         score.alias("score"), "predictions_count", missing.alias("missing_columns"), F.lit(float(seconds)).alias("duration"))

@@ -23,7 +23,7 @@ from lumenfold.functions.skew import lookup_join
 from lumenfold.operators import features as E, trees as TR
 from lumenfold.operators.confidence import Calibration, calibrate_classes, calibrate_regression, with_confidence, with_quantiles
 from lumenfold.operators.joins import apply_encoding
-from lumenfold.operators.metrics import (ASCENDING, DEFAULT_METRIC, binary_metrics, multiclass_metrics, regression_metrics, top_class)
+from lumenfold.operators.metrics import (ASCENDING, DEFAULT_METRIC, binary_metrics, multiclass_metrics, problem_metrics, regression_metrics, top_class)
 from lumenfold.operators.profile import numeric_columns, string_columns
 from lumenfold.operators.roles import ColumnRoles, assign_folds, split_holdout
 from lumenfold.session import cut_lineage
@@ -679,15 +679,17 @@ def score_external_onnx(df: DataFrame, model: bytes, inputs: Sequence[str], outp
     return df.mapInPandas(run, schema)
 
 
-def evaluate_external(holdout: DataFrame, predictions: dict[str, DataFrame], key: str, target: str, value: str,
+def evaluate_external(holdout: DataFrame, predictions: dict[str, DataFrame], key: str, target: str, value: str | dict[str, str],
                       problem: str = "regression", metrics: Sequence[str] | None = None) -> DataFrame:
-    """Metrics of supplied predictions, one row per model."""
+    """Metrics of supplied predictions, one row per model. value: the column of a prediction or probability, or one column for each class."""
     if not predictions:
         raise ValueError("at least one model is required")
-    run = {"regression": regression_metrics, "classification": binary_metrics}[problem]
+    classes = list(value) if isinstance(value, dict) else [""]
+    columns = [value[c] if isinstance(value, dict) else value for c in classes]
     rows = None
     for name, table in predictions.items():
-        one = table.select(key, F.col(value).alias("_p")).withColumn("model", F.lit(name))
+        one = table.select(key, *[F.col(f"`{c}`").alias(f"_p{i}") for i, c in enumerate(columns)]).withColumn("model", F.lit(name))
         rows = one if rows is None else rows.unionByName(one)
     joined = rows.join(holdout.select(key, target), key)
-    return run(joined, target, "_p", ["model"], **({"names": metrics} if metrics else {}))
+    scores = {c: f"_p{i}" for i, c in enumerate(classes)} if isinstance(value, dict) else "_p0"
+    return problem_metrics(joined, target, scores, problem, ["model"], metrics)

@@ -156,6 +156,37 @@ def evaluate_external(spark, sf_dir):
     return rounded(M.evaluate_external(rows, tables, "l_orderkey", "y", "p", metrics=["rmse", "mae", "mer"]), 2)
 
 
+LOSS_SQL = "-avg(ln(least(greatest(CASE y WHEN 'F' THEN {0} WHEN 'O' THEN {1} ELSE {2} END, 1e-15), 1 - 1e-15)))"
+
+
+def _two_classifiers(spark, sf_dir):
+    """Probabilities of the order states, and the same with two states exchanged."""
+    rows = status_rows(spark, sf_dir)
+    return rows, rows.select("id", "y", F.col("p1").alias("p0"), F.col("p0").alias("p1"), "p2")
+
+
+@register("m20_evaluate_external_classes", f"""SELECT 'a' AS model, round({LOSS_SQL.format("p0", "p1", "p2")}, 6) AS log_loss FROM {STATUS_SQL} r
+UNION ALL SELECT 'b', round({LOSS_SQL.format("p1", "p0", "p2")}, 6) FROM {STATUS_SQL} r""")
+def evaluate_external_classes(spark, sf_dir):
+    a, b = _two_classifiers(spark, sf_dir)
+    return rounded(M.evaluate_external(a, {"a": a, "b": b}, "id", "y", class_probs(STATUSES), "multiclassification", ["log_loss"]))
+
+
+@register("d06_compare_classifiers", f"""WITH t AS (SELECT * FROM {STATUS_SQL} r)
+SELECT count(*) AS n, round(avg((p2 > p0 AND p2 > p1)::INT), 6) AS agreement, round(avg(abs(p0 - p1)), 6) AS mean_delta, round({LOSS_SQL.format("p0", "p1", "p2")}, 6) AS log_loss_main,
+    round({LOSS_SQL.format("p1", "p0", "p2")}, 6) AS log_loss_challenger, round({LOSS_SQL.format("p1", "p0", "p2")} - ({LOSS_SQL.format("p0", "p1", "p2")}), 6) AS log_loss_delta FROM t""")
+def compare_classifiers(spark, sf_dir):
+    a, b = _two_classifiers(spark, sf_dir)
+    return rounded(D.compare_classifiers(a, b, "id", class_probs(STATUSES), a, "y")[1])
+
+
+@register("d08_classification_summary", f"""SELECT round({LOSS_SQL.format("p0", "p1", "p2")}, 6) AS score, count(p0) AS predictions_count, 'weight' AS missing_columns,
+    0.0::DOUBLE AS duration FROM {STATUS_SQL} r""")
+def classification_summary(spark, sf_dir):
+    return rounded(D.prediction_summary(status_rows(spark, sf_dir), "y", class_probs(STATUSES), table(spark, sf_dir, "lineitem"),
+                                        {"l_quantity": "double", "weight": "double"}, problem="multiclassification"), 6, "score")
+
+
 @register("m11_tuned_fit")
 def tuned_fit(spark, sf_dir):
     df = regression_table(spark, sf_dir)
