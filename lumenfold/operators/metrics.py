@@ -12,7 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lumenfold.functions.ranking import prefix_sums, weighted_median
+from lumenfold.functions.ranking import exact_percentiles, prefix_sums, weighted_median
 
 # Metric names per kind of problem, and the default of each kind.
 REGRESSION = ["rmse", "rmsle", "mape", "mae", "mse", "rmspe", "mer", "R2", "smape"]
@@ -98,7 +98,12 @@ def regression_metrics(df: DataFrame, y: str | Column, p: str | Column, groups:
         "smape": weighted_mean(F.coalesce(2 * F.abs(err) / F.nullif(F.abs(yc) + F.abs(pc), F.lit(0.0)), F.lit(0.0)), w),
     }
     plain = [n for n in names if n != "mer"]
-    medians = weighted_median(rows, F.abs(err), w, groups, "mer") if "mer" in names else None
+    medians = None
+    if "mer" in names and weight is None:
+        # only the bucket that holds a group's middle is sorted
+        medians = exact_percentiles(rows, F.abs(err), [0.5], groups, "mer").withColumnRenamed("mer_0", "mer")
+    elif "mer" in names:
+        medians = weighted_median(rows, F.abs(err), w, groups, "mer")
     if not plain:
         return medians.select(*groups, "mer")
     out = rows.groupBy(*groups).agg(*[formulas[n].alias(n) for n in plain])
