@@ -211,4 +211,39 @@ def op12(spark, sf_dir) -> DataFrame:
     return spelling_variants(vocabulary(run_words(table(spark, sf_dir, "documents"))))
 
 
+ORACLE = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+), runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS d, translate(r, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS r FROM documents) x WHERE length(r) >= 6 GROUP BY ALL
+), coded AS (
+  SELECT r, n, flatten(list_transform(string_split(d || ':' || r, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE
+    [192 + (unicode(x) >> 6)::BIGINT, 128 + (unicode(x) & 63)::BIGINT] END)) AS b FROM runs
+), hashed AS (
+  SELECT r, n, xor(4294967295, list_reduce(b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295)) AS h FROM coded, crc
+), v AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN h % 199 = 0 THEN left(r, (h % length(r))::INT) || substr(r, (h % length(r))::INT + 2) ELSE r END AS word, n FROM hashed) x
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), k AS (
+  SELECT word, n, left(word, i - 1) || '?' || substr(word, i + 1) AS hole, left(word, i - 1) || substr(word, i + 1) AS less
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1))::INT AS i FROM v) x
+), near AS (
+  SELECT a.word, b.word AS near, b.n FROM k a JOIN k b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT k.word, v.word, v.n FROM k JOIN v ON v.word = k.less
+  UNION SELECT v.word, k.word, k.n FROM k JOIN v ON v.word = k.less
+), best AS (
+  SELECT word, near, n, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM near
+), formed AS (
+  SELECT v.word, CASE WHEN b.n >= 5 * v.n THEN b.near END AS form, v.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.n >= 5 * v.n THEN b.n END AS form_n
+  FROM v LEFT JOIN best b ON b.word = v.word AND b.place = 1
+), chain AS (
+  SELECT word, word AS root FROM formed UNION ALL SELECT chain.word, formed.form FROM chain JOIN formed ON formed.word = chain.root WHERE formed.form IS NOT NULL
+), ends AS (
+  SELECT chain.word, chain.root FROM chain JOIN formed ON formed.word = chain.root WHERE formed.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
 QUERIES = {"op12_spelling_variants": op12}
+ORACLES = {"op12_spelling_variants": ORACLE}

@@ -2,9 +2,10 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 
-from lumenfold.llm.op12_spelling import Trie, letters, near_words, op12, run_words, spelling_variants, vocabulary
+from lumenfold.llm.op12_spelling import ORACLE, Trie, letters, near_words, op12, run_words, spelling_variants, vocabulary
 
 
 def runs(rows):
@@ -63,6 +64,13 @@ def test_whole_small_tables(spark, small):
         assert sum(r[1] is not None for r in want) > 0 and sum(r[4] > 0 for r in want) > 10
 
 
+def test_sql_gives_the_same(small):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    rows = con.execute("SELECT doc_id, text FROM documents").fetchall()
+    assert sorted(con.execute(ORACLE).fetchall()) == brute(words_of(rows))
+
+
 def test_dense_words_in_small_blocks(spark, monkeypatch):
     from lumenfold.llm import op12_spelling
     monkeypatch.setattr(op12_spelling, "CHUNK", 40)
