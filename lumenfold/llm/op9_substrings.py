@@ -5,7 +5,8 @@ minimizers. Neighbouring windows with one minimizer form a run (about 17 windows
 
 Pass 1: each partition sketches in how many documents each minimizer occurs (saturating counters, DEPTH rows); the merged
 sketch never underestimates, so a window whose minimizer is estimated below two documents repeats nowhere.
-Pass 2: only runs estimated repeated go on. They are grouped exactly by their content: a run that an earlier document has
+Pass 2: only runs estimated repeated go on. They are grouped by their content, known by 128 bits (of runs the minimizer and a hash
+of all windows, of windows two rolling hashes; a false match among 1e12 windows has a chance below 1e-14): a run that an earlier document has
 as well is removed whole. A run that is the first of its content, but shares its minimizer with other runs, is opened and
 its windows are grouped one by one. Nothing is lost, whatever the sketch says: its width only decides how much pass 2 sees.
 
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lumenfold.llm.common import stored, table
-from lumenfold.llm.wordhash import folded, mix, pieces
+from lumenfold.llm.wordhash import SECOND, folded, mix, pieces
 
 WINDOW, GRAM, DEPTH = 50, 16, 2
 #: Counters in a row of the sketch: two for each expected minimizer, within these bounds (the merged bits take 16 MB at most).
@@ -152,15 +153,15 @@ def opened(batches):
     for batch in batches:
         spans, ids, hashes = batch.column("spans"), batch.column("doc_id"), batch.column("text_hash")
         for p in pieces(batch.column("text")):
-            every, found = p.rolling(WINDOW), []
+            every, other, found = p.rolling(WINDOW), p.rolling(WINDOW, SECOND), []
             for r in range(p.rows):
                 s = spans[p.row + r].values
                 start, size = s.field("start").to_numpy(), s.field("size").to_numpy()
                 found.append(np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size))
             at, row = np.concatenate(found), np.repeat(np.arange(p.rows), [len(x) for x in found])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(every[p.first[row] + at].view(np.int64)), ids.take(pa.array(p.row + row)), hashes.take(pa.array(p.row + row)),
-                 pa.array(at.astype(np.int32))], ["window", "doc_id", "text_hash", "start"])
+                [pa.array(every[p.first[row] + at].view(np.int64)), pa.array(other[p.first[row] + at].view(np.int64)), ids.take(pa.array(p.row + row)), hashes.take(pa.array(p.row + row)),
+                 pa.array(at.astype(np.int32))], ["window", "again", "doc_id", "text_hash", "start"])
 
 
 def cut(batches):
@@ -197,9 +198,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.collect_list(F.struct("start", "size")).alias("spans"))
     window = stored(part.join(source, ["doc_id", "text_hash"])
                     .select("doc_id", "text_hash", "spans", "text")
-                    .mapInArrow(opened, "window long, doc_id long, text_hash long, start int"), "windows")
-    earlier = window.groupBy("window").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    single = window.join(earlier, "window").where("lo < doc_id").select("doc_id", "text_hash", "start", F.lit(1).alias("size"))
+                    .mapInArrow(opened, "window long, again long, doc_id long, text_hash long, start int"), "windows")
+    earlier = window.groupBy("window", "again").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    single = window.join(earlier, ["window", "again"]).where("lo < doc_id").select("doc_id", "text_hash", "start", F.lit(1).alias("size"))
     gone = whole.union(single).groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
     done = gone.join(source, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "spans", "text").mapInArrow(
         cut, "doc_id long, text_hash long, n_removed long, cut_sha string").dropDuplicates(["doc_id", "text_hash"])

@@ -21,8 +21,10 @@ _BYTE[_SPACE] = 0
 _LOWER = _BYTE.copy()
 _LOWER[65:91] = _BYTE[97:123]
 _P = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_P), -1, 1 << 64))
-_POWERS = {_P: np.ones(1, np.uint64), _INVERSE: np.ones(1, np.uint64)}
+#: A second base, for windows that are told apart by 128 bits.
+SECOND = np.uint64(0xD1342543DE82EF95)
+_INVERSE = {p: np.uint64(pow(int(p), -1, 1 << 64)) for p in (_P, SECOND)}
+_POWERS = {p: np.ones(1, np.uint64) for p in (*_INVERSE, *_INVERSE.values())}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -61,7 +63,7 @@ class Piece:
         room = np.repeat(self.first[1:], self.counts) - np.arange(len(self.hashes))
         return np.flatnonzero(room >= k)
 
-    def rolling(self, k: int) -> np.ndarray:
+    def rolling(self, k: int, base: np.uint64 = _P) -> np.ndarray:
         """Hash of the k words from every word on, across rows too; the same for the same words wherever they stand."""
         h, n = self.hashes, len(self.hashes)
         if n < k:
@@ -69,10 +71,10 @@ class Piece:
         if k <= 8:
             out = np.zeros(n - k + 1, np.uint64)
             for j in range(k):
-                out = out * _P + h[j:n - k + 1 + j]
-        else:  # sums of h[j] * P**j, divided by P**i for the window at i
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * _powers(n), dtype=np.uint64)])
-            out = (total[k:] - total[:n - k + 1]) * _powers(n - k + 1, _INVERSE)
+                out = out * base + h[j:n - k + 1 + j]
+        else:  # sums of h[j] * base**j, divided by base**i for the window at i
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * _powers(n, base), dtype=np.uint64)])
+            out = (total[k:] - total[:n - k + 1]) * _powers(n - k + 1, _INVERSE[base])
         return mix(out)
 
     def windows(self, k: int) -> tuple[np.ndarray, np.ndarray]:
