@@ -36,7 +36,7 @@ def test_any_ids(ids):
     assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
-@pytest.mark.parametrize("text", ["qx" * 200_000, "zq!" * 100_000, " " * 300_000 + "x", "ab" * 50_000, "日本" * 50_000, "\n" * 100_000, "x" * 200_000 + "'s"])
+@pytest.mark.parametrize("text", ["qx" * 100_000, "zq!" * 50_000, " " * 50_000 + "x", "ab" * 20_000, "日本" * 20_000, "\n" * 50_000, "x" * 50_000 + "'s"])
 def test_long_runs(text):
     same(text)
 
