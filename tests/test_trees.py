@@ -57,10 +57,11 @@ def test_first_level_wise_tree(data):
 
 
 @pytest.mark.parametrize("growth", ["level", "leaf", "symmetric"])
-def test_loss_falls_and_limits_hold(data, growth):
+def test_loss_falls_and_limits_hold(data, growth, monkeypatch):
+    monkeypatch.setattr(TR, "REBASE", 2)  # margins are written back on the way
     x, y = arrays(data)
-    model = TR.boost(data, ["a", "b", "c"], "t", "identity", 1, growth, 12, 0.3, 3, 6, 1.0)  # more rounds than REBASE
-    assert np.mean((model.margins(x)[:, 0] - y) ** 2) < 0.1 * y.var()
+    model = TR.boost(data, ["a", "b", "c"], "t", "identity", 1, growth, 5, 0.5, 3, 6, 1.0)
+    assert np.mean((model.margins(x)[:, 0] - y) ** 2) < 0.15 * y.var()
     for t in model.trees:
         leaves = [i for i, f in enumerate(t.feature) if f < 0]
         assert len(leaves) <= (6 if growth == "leaf" else 8) and abs(sum(t.cover[i] for i in leaves) - 600) < 1e-9
@@ -91,10 +92,10 @@ def test_weights_count_as_copies(spark, data):
 
 def test_three_classes_share_their_steps(data):
     df = data.withColumn("y", F.when(F.col("a") > 15, 2.0).when(F.col("b") > 6, 1.0).otherwise(0.0))
-    stage = TR.fit_trees(df, ["a", "b", "c"], "XGB", "multiclassification", 3, label="y")
+    stage = TR.fit_trees(df, ["a", "b", "c"], "XGB", "multiclassification", 3, label="y", rounds=6)
     out = stage.transform(df).select("y", "prediction", "_p").collect()
     assert np.mean([r["y"] == r["prediction"] for r in out]) > 0.98 and all(abs(sum(r["_p"]) - 1) < 1e-9 for r in out)
-    assert len(stage.ensemble.trees) == 3 * TR.BOOSTERS["XGB"]["rounds"]
+    assert len(stage.ensemble.trees) == 3 * 6
 
 
 def test_ordered_statistics_see_earlier_blocks_only(spark, data):
