@@ -78,7 +78,7 @@ def test_positions_of_unequal_files(spark, tmp_path, kind):
             folder = str(tmp_path / side)
             part = spark.range(a, b, 1, 1).select(F.col("id").alias(side), F.lit("x" * (i % 3)).alias(f"pad_{side}"))
             getattr(part.write.mode("append"), kind)(f"{folder}-{i}")
-    read = {side: getattr(spark.read.schema(f"{side} long, pad_{side} string"), kind)([str(tmp_path / f"{side}-{i}") for i in range(len(at) - 1)])
+    read = {side: spark.read.schema(f"{side} long, pad_{side} string").format(kind).load([str(tmp_path / f"{side}-{i}") for i in range(len(at) - 1)])
             for side, at in cuts.items()}
     out = join_logged(read["left"], read["right"])
     assert out.columns == ["row", "left", "pad_left", "right", "pad_right"]
