@@ -629,10 +629,11 @@ def fit_naive_bayes(train: DataFrame, target: str, columns: Sequence[str], weigh
     long = cut_lineage(train.where(F.col(target).isNotNull()).select(F.col(target).cast("string").alias("class"), one.alias("w"), F.explode(cells).alias("e"))
                        .groupBy("e.j", "e.value", "class").agg(F.sum("w").alias("n")))
     total = {r["class"]: r["n"] for r in long.where("j = 0").groupBy("class").agg(F.sum("n").alias("n")).collect()}  # as many as output columns
-    tables = [cut_lineage(long.where(F.col("j") == j).groupBy("value").agg(F.map_from_entries(F.collect_list(F.struct("class", "n"))).alias("seen")))
-              for j in range(len(columns))]
+    seen = cut_lineage(long.groupBy("j", "value").agg(F.map_from_entries(F.collect_list(F.struct("class", "n"))).alias("seen")))
+    kinds = {r["j"]: r["n"] for r in seen.groupBy("j").agg(F.count(F.lit(1)).alias("n")).collect()}
     classes = sorted(total)
-    return BayesCounts(classes, [total[c] for c in classes], list(columns), tables, [t.count() for t in tables])
+    return BayesCounts(classes, [total[c] for c in classes], list(columns), [seen.where(F.col("j") == j).drop("j") for j in range(len(columns))],
+                       [kinds.get(j, 0) for j in range(len(columns))])
 
 
 def score_naive_bayes(counts: BayesCounts, df: DataFrame, row_id: str) -> DataFrame:
