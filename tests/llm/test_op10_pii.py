@@ -103,6 +103,20 @@ def test_the_field_decides_on_masked_mentions(spark, small):
     assert sum(len(g & w) for g, w in zip(alone, wanted)) <= 0.1 * missed
 
 
+def test_documents_without_base_spans_are_judged_too(spark, small):
+    """Addresses that are only spelled out: the field has them as nodes, and what it takes for personal data comes out."""
+    texts = ["Write to email jane.doe at example dot org. Or mail: jane.doe (at) example (dot) org, contact email jane.doe at example dot org!", "page 12 of 300", ""]
+    assert not any(map(base_spans, texts))
+    bases, rows, _, kinds, shape, _, edges = graph(texts)
+    assert rows == [0, 0, 0] and (kinds < 0).all() and len(edges[1]) == 2
+    model = train(spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text"))
+    # whatever the text alone says about an address: a model that is sure of it adds the spans
+    sure = {**model, "weights": np.eye(5)[1] * 20 + 0 * model["weights"]}
+    out = {r.doc_id: r for r in personal_data(spark.createDataFrame(enumerate(texts), "doc_id long, text string"), model=sure).collect()}
+    assert out[0].spans.count("email:") == 3 and out[0].n_email == 0 and out[1].spans == out[2].spans == ""
+    assert all(p > 0 for p in posterior(model, kinds, shape, edges)[:, 1])
+
+
 def test_messages_against_all_labellings():
     """On a chain of four nodes the marginals are exact."""
     rng = np.random.default_rng(1)
