@@ -1,9 +1,11 @@
 """Steps that grow with the tables: nothing of a vocabulary's size on the driver, stored inputs, small lookups, fast trees."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from lumenfold.operators import features as E, train as M, trees as TR, wordvectors as W
+from lumenfold.functions import topk
+from lumenfold.operators import features as E, textsim as X, train as M, trees as TR, wordvectors as W
 from lumenfold.operators.roles import ColumnRoles
 from lumenfold.plans import text_queries as TQ
 
@@ -74,3 +76,36 @@ def test_leaves_by_feature():
             i = tree.left[i] if row[tree.feature[i]] <= tree.threshold[i] else tree.right[i]
         assert leaf == i
     assert got.dtype == np.uint8
+
+
+def test_cells_copy_no_vectors(spark, monkeypatch):
+    """Four crowded cells, two of them asked by each query: no vector is shuffled to a cell, and the k best are those of plain numpy."""
+    monkeypatch.setattr(topk, "CELL_ROWS", 40)
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(8)
+    v, u = rng.normal(size=(300, 6)), rng.normal(size=(90, 6))
+    cells = np.where(np.arange(300) < 200, 0, np.arange(300) % 4)
+    items = spark.createDataFrame([(int(c), i, x.tolist()) for i, (c, x) in enumerate(zip(cells, v))], "b long, i long, v array<double>")
+    lists = spark.createDataFrame([(i, x.tolist(), [i % 4, (i + 1) % 4]) for i, x in enumerate(u)], "q long, v array<double>, bs array<long>")
+    found = topk.celled_topk(X._cells_of(topk.dealt(lists)), items, 5, False)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    got = {}
+    for r in topk.finish(found, 5).orderBy("q", "rank").collect():
+        got.setdefault(r["q"], []).append(r["i"])
+    for q, x in enumerate(u):
+        own = np.flatnonzero((cells == q % 4) | (cells == (q + 1) % 4))
+        assert got[q] == own[np.argsort(-(v[own] @ x))[:5]].tolist()
+
+
+def test_nearest_lists_rank_as_the_exact_search(spark, monkeypatch):
+    """Ids that come twice share one list, as in the exact search; centres too many to share go the other way."""
+    rng = np.random.default_rng(9)
+    rows = spark.createDataFrame([(i % 50, x.tolist()) for i, x in enumerate(rng.normal(size=(60, 4)))], "id long, vector array<double>")
+    centres = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(12, 4)))], "centre long, vector array<double>")
+    want = {}
+    for r in topk.exact_topk(rows, centres, 5, "id", "centre").orderBy("id", "rank").collect():
+        want.setdefault(r["id"], []).append(r["centre"])
+    assert {r["id"]: r["bs"] for r in topk.nearest_lists(rows, centres, 5, "id", "centre").collect()} == want
+    monkeypatch.setattr(topk, "SHARED_ITEMS", 3)
+    assert {r["id"]: sorted(r["bs"]) for r in topk.nearest_lists(rows, centres, 5, "id", "centre").collect()} == {k: sorted(v) for k, v in want.items()}
