@@ -98,6 +98,15 @@ def test_cells_copy_no_vectors(spark, monkeypatch):
         assert got[q] == own[np.argsort(-(v[own] @ x))[:5]].tolist()
 
 
+def test_rows_met_in_several_cells_count_once(spark):
+    items = spark.createDataFrame([(b, i, [float(i), 1.0]) for b in (0, 1, 2) for i in range(6)], "b long, i long, v array<double>")
+    lists = spark.createDataFrame([(7, [1.0, 0.0], [0, 1, 2])], "q long, v array<double>, bs array<long>")
+    found = topk.celled_topk(X._cells_of(lists), items, 3, False).groupBy("q", "i").agg(F.max("score").alias("score"))
+    assert [(r["i"], r["score"]) for r in topk.finish(found, 3).orderBy("rank").collect()] == [(5, 5.0), (4, 4.0), (3, 3.0)]
+    with pytest.raises(Exception, match="a query has no vector"):
+        topk.celled_topk(X._cells_of(lists.withColumn("v", F.lit(None).cast("array<double>"))), items, 3, False)
+
+
 def test_nearest_lists_rank_as_the_exact_search(spark, monkeypatch):
     """Ids that come twice share one list, as in the exact search; centres too many to share go the other way."""
     rng = np.random.default_rng(9)
