@@ -118,3 +118,36 @@ def test_nearest_lists_rank_as_the_exact_search(spark, monkeypatch):
     assert {r["id"]: r["bs"] for r in topk.nearest_lists(rows, centres, 5, "id", "centre").collect()} == want
     monkeypatch.setattr(topk, "SHARED_ITEMS", 3)
     assert {r["id"]: sorted(r["bs"]) for r in topk.nearest_lists(rows, centres, 5, "id", "centre").collect()} == {k: sorted(v) for k, v in want.items()}
+
+
+def test_few_pairs_are_scored_twice(spark, monkeypatch):
+    """Of all pairs only those near a query's k best come to double precision, and the k best are those of plain numpy, ties by id."""
+    import pickle
+    rng = np.random.default_rng(11)
+    v, u = rng.normal(size=(6000, 16)), rng.normal(size=(200, 16))
+    v[5000:5040] = v[:40]
+    u[:40] = v[:40]
+    done = []
+    plain = topk._dots
+    monkeypatch.setattr(topk, "_dots", lambda a, b: done.append(len(a)) or plain(a, b))
+    block = topk.Asked(pickle.dumps((np.arange(200), u, np.array([0]), np.array([0, 200]), np.arange(200, dtype=np.int32))), 5, False)
+    ids = rng.permutation(6000)
+    for s in range(0, 6000, 500):
+        block.meet(np.zeros(500, int), ids[s:s + 500], v[ids[s:s + 500]])
+    got = block.frame(["q", "i", "score"])
+    scores = np.round(u @ v.T, 9)
+    for q in range(200):
+        best = np.lexsort((np.arange(6000), -scores[q]))[:5]
+        own = got[got["q"] == q]
+        assert own["i"].tolist() == best.tolist() and np.allclose(own["score"], scores[q, best])
+    assert sum(done) < 0.02 * 200 * 6000
+
+
+def test_long_and_odd_vectors(spark):
+    """Numbers beyond single precision are compared in double precision; an item without a score is nobody's match."""
+    import pickle
+    u = np.array([[1e30, 0.0], [0.0, 1.0]])
+    v = np.array([[1e30, 0.0], [2e30, 1.0], [np.nan, 3.0], [0.0, 5.0]])
+    block = topk.Asked(pickle.dumps((np.arange(2), u, np.array([0]), np.array([0, 2]), np.arange(2, dtype=np.int32))), 2, False)
+    block.meet(np.zeros(4, int), np.arange(4), v)
+    assert block.frame(["q", "i", "score"]).groupby("q")["i"].apply(list).to_dict() == {0: [1, 0], 1: [3, 1]}
