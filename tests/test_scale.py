@@ -151,3 +151,23 @@ def test_long_and_odd_vectors(spark):
     block = topk.Asked(pickle.dumps((np.arange(2), u, np.array([0]), np.array([0, 2]), np.arange(2, dtype=np.int32))), 2, False)
     block.meet(np.zeros(4, int), np.arange(4), v)
     assert block.frame(["q", "i", "score"]).groupby("q")["i"].apply(list).to_dict() == {0: [1, 0], 1: [3, 1]}
+
+
+def test_items_need_no_flips(spark, monkeypatch):
+    """Items lie in their own buckets, so flips are worked out for queries only, for some rows at a time."""
+    rng = np.random.default_rng(12)
+    for bits, most in ((5, 7), (6, 1), (4, 16)):
+        margins = rng.integers(-3, 4, (300, bits)).astype(float)  # ties
+        sets = np.array([sum(1 << i for i in c) for n in range(min(X.MAX_FLIPS, bits) + 1) for c in X.combinations(range(bits), n)])
+        cost = np.square(margins) @ (sets[:, None] >> np.arange(bits) & 1).astype(float).T
+        assert (X.flips(margins, bits, most) == sets[np.argsort(cost, axis=1, kind="stable")[:, :most]]).all()
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(50, 6)))], "id long, vector array<double>").repartition(1)
+    items = rows.withColumnRenamed("id", "item")
+    want = [tuple(r) for r in X.search_lsh(rows, items, 3, "id", "item", bits=3, probes=1).orderBy("id", "rank").collect()]
+
+    def none(*_):
+        raise AssertionError("flips for rows that visit one bucket")
+    monkeypatch.setattr(X, "flips", none)
+    monkeypatch.setattr(X, "FLIP_ROWS", 7)
+    got = [tuple(r) for r in X.search_lsh(rows, items, 3, "id", "item", bits=3, probes=1).orderBy("id", "rank").collect()]
+    assert got == want and len(want) == 150
