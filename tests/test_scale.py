@@ -171,3 +171,23 @@ def test_items_need_no_flips(spark, monkeypatch):
     monkeypatch.setattr(X, "FLIP_ROWS", 7)
     got = [tuple(r) for r in X.search_lsh(rows, items, 3, "id", "item", bits=3, probes=1).orderBy("id", "rank").collect()]
     assert got == want and len(want) == 150
+
+
+def test_coded_search_reaches_its_recall(spark, monkeypatch):
+    """Without clusters the codes leave more than rerank * k candidates; no vector is joined to the pairs, and keys that come twice still work."""
+    rng = np.random.default_rng(13)
+    v = rng.normal(size=(1500, 16))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, vector array<double>").repartition(4).cache()
+    want = np.argsort(-(v @ v.T), axis=1)[:, :5]
+    items = df.withColumnRenamed("id", "item")
+    for rerank in (3, 300):  # 15 candidates are too few; 1500 are all items
+        found = X.search_ivf_pq(df, items, 5, "id", "item", nlist=4, slices=4, codes=4, rerank=rerank)
+        assert "vector" not in found._jdf.queryExecution().optimizedPlan().toString()
+        got = {}
+        for r in found.orderBy("id", "rank").collect():
+            got.setdefault(r["id"], []).append(r["item"])
+        assert np.mean([len(set(got[q]) & set(want[q].tolist())) / 5 for q in range(1500)]) >= 0.9
+    few = df.where("id < 60")
+    twice = X.search_ivf_pq(few.union(few.where("id < 2")), few.withColumnRenamed("id", "item"), 5, "id", "item", nlist=2, slices=4, codes=4)
+    assert twice.count() == 300
