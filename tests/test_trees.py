@@ -171,3 +171,27 @@ def test_spark_trees_become_ensembles(data):
         rows = scored.select(vector_to_array("_features").alias("x"), "prediction").collect()
         own = TR.from_spark(model.stages.stages[-1], 1).margins(np.array([r["x"] for r in rows]))[:, 0]
         assert np.allclose(own, [r["prediction"] for r in rows])
+
+
+@pytest.mark.parametrize("code,problem", [("XGB", "regression"), ("LGB", "classification"), ("CB", "multiclassification"), ("ET", "regression"), ("ET", "multiclassification")])
+def test_rows_of_the_same_bins_are_merged(spark, monkeypatch, code, problem):
+    """The same trees from a few merged rows as from all rows, weights of zero included."""
+    classes = {"regression": 0, "classification": 2, "multiclassification": 3}[problem]
+    y = "CAST((id * 7 % 5 + id % 4 + id * 3 % 11) % {0} AS double)".format(classes) if classes else "id * 7 % 5 * 2.0 + id % 4 * (id % 9) + 0.25 * (id * 3 % 11)"
+    df = spark.range(4000).selectExpr("id", "CAST(id * 7 % 5 AS double) AS a", "CAST(id % 4 AS double) AS b", "CAST(id * 5 % 3 AS double) AS w", f"{y} AS _y").repartition(3).cache()
+    given = dict(inputs=["a", "b"], code=code, problem=problem, n_classes=classes, weight="w")
+    want = TR.fit_trees(df, **given).ensemble
+    monkeypatch.setattr(TR, "ROWS_A_TASK", 500)
+    read = []
+    stored = TR._stored
+    monkeypatch.setattr(TR, "_stored", lambda t: read.append(stored(t)) or read[-1])
+    stage = TR.fit_trees(df, **given)
+    assert read[1].count() <= 5 * 4 * max(1, classes if problem == "multiclassification" else 1)
+    got = stage.ensemble
+    assert [t.feature for t in got.trees] == [t.feature for t in want.trees] and [t.threshold for t in got.trees] == [t.threshold for t in want.trees]
+    for a, b in zip(got.trees, want.trees):
+        assert np.allclose(a.value, b.value) and np.allclose(a.cover, b.cover)
+    if not classes:
+        rows = stage.transform(df.withColumn("a", F.when(F.col("id") > 5, F.col("a")))).orderBy("id").collect()
+        x = np.array([[np.nan if r["a"] is None else r["a"], r["b"]] for r in rows])
+        assert np.allclose([r["prediction"] for r in rows], got.outputs(x)[:, 0])
