@@ -45,6 +45,45 @@ def test_rare_terms_are_joined(spark, monkeypatch):
     assert sorted(map(tuple, few.collect())) == want and len(want) == counts.count()
 
 
+def test_vectors_from_packed_counts(spark, monkeypatch):
+    """The same vectors as from long counts, with all terms sent to the tasks and with most of them joined; counts shuffle nothing."""
+    rows = [(i, " ".join(f"t{j}" for j in range(12) if i % (j + 1) == 0 for _ in range(1 + i % 3))) for i in range(60)]
+    docs = spark.createDataFrame([*rows, (60, ""), (61, None), (62, "t0")], "d long, text string").repartition(3).withColumn("words", E.tokens("text"))
+    vocab = X.cut_lineage(E.vocabulary(E.term_counts(docs, "d", "words"), F.lit(63)))
+    want = {r["d"]: r["vector"] for r in X.tfidf_vectors(E.term_counts(docs, "d", "words"), "d", vocab).collect()}
+    packed = X.packed_counts(docs, "d", "words")
+    assert packed.count() == 61 and packed.inputFiles()
+    for most in (200_000, 3):
+        monkeypatch.setattr(E, "BROADCAST_ROWS", most)
+        monkeypatch.setattr(X, "BROADCAST_ROWS", most)
+        got = X.packed_vectors(packed, "d", vocab)
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+        got = {r["d"]: r["vector"] for r in got.collect()}
+        assert got.keys() == want.keys()
+        for d, v in got.items():
+            assert v["terms"] == want[d]["terms"] and np.allclose(v["weights"], want[d]["weights"])
+
+
+def test_few_queries_meet_items_where_they_stand(spark):
+    """Sparse items of a catalogue are neither shuffled nor stored for a few queries; ids that come twice go the other way, with the same rows."""
+    rng = np.random.default_rng(14)
+    texts = [(i, " ".join(f"w{x}" for x in rng.integers(0, 30, 12))) for i in range(300)]
+    items = spark.createDataFrame(texts, "item long, text string").repartition(4)
+    queries = spark.createDataFrame(texts[::25], "id long, text string")
+    qs, its = X.embed(queries, items, "id", "item", "text", "text")
+    found = X.search_cluster_pruning(qs, its, 5, "id", "item")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "RepartitionByExpression" not in plan
+    want = X.search_cluster_pruning(qs, X.cut_lineage(its), 5, "id", "item")
+    unique = X._unique
+    try:
+        X._unique = lambda *_: False
+        old = sorted(map(tuple, X.search_cluster_pruning(qs, its, 5, "id", "item").collect()))
+    finally:
+        X._unique = unique
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())) == old and len(old) == 60
+
+
 def test_documents_are_searched_once(spark, small):
     assert TQ.query_rows(spark, small).inputFiles() == []
 
