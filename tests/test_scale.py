@@ -212,6 +212,14 @@ def test_items_need_no_flips(spark, monkeypatch):
     assert got == want and len(want) == 150
 
 
+def test_items_that_come_twice_take_one_place(spark):
+    rng = np.random.default_rng(15)
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(80, 6)))], "id long, vector array<double>").repartition(1)
+    items = rows.withColumnRenamed("id", "item")
+    want, got = (sorted(map(tuple, X.search_lsh(rows, its, 4, "id", "item", bits=3, probes=3).collect())) for its in (items, items.union(items).union(items)))
+    assert got == want and len(want) == 320
+
+
 def test_coded_search_reaches_its_recall(spark, monkeypatch):
     """Without clusters the codes leave more than rerank * k candidates; no vector is joined to the pairs, and keys that come twice still work."""
     rng = np.random.default_rng(13)
